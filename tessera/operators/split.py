@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,14 +31,16 @@ def _period_counts(df: DataFrame, key: str) -> list[tuple[int, int]]:
 
 
 def _label_by_position(df: DataFrame, key: str, order_cols: list,
-                       cuts: list[int], labels: list[str]) -> DataFrame:
+                       cuts, labels: list[str], counts=None) -> DataFrame:
     """Label rows by their position in (key, order_cols) order.
 
     ``cuts`` are increasing positions; rows before cuts[0] get labels[0],
     rows in [cuts[i-1], cuts[i]) get labels[i], the rest labels[-1].
     """
     spark = df.sparkSession
-    counts = _period_counts(df, key)
+    counts = counts if counts is not None else _period_counts(df, key)
+    if callable(cuts):
+        cuts = cuts(sum(n for _, n in counts))
     start, spans = 0, []
     for p, n in counts:
         spans.append((p, start, start + n))
@@ -84,7 +87,7 @@ def temporal_split(df: DataFrame, year_col: str, month_col: str,
                    order_cols: list, train_fraction: float = 0.8,
                    valid_fraction: float = 0.0, mode: str = "fraction",
                    test_start: tuple[int, int] | None = None,
-                   key_col: str = "_period") -> DataFrame:
+                   key_col: str = "_period", persist: bool = True) -> DataFrame:
     """Split rows into train / (val) / test by time.
 
     * ``fraction``: first floor(f*n) rows in period order are train; with a
@@ -95,18 +98,23 @@ def temporal_split(df: DataFrame, year_col: str, month_col: str,
       at most n-1) become validation.
     """
     keyed = df.withColumn(key_col, period_key(year_col, month_col))
+    if persist and not df.is_cached:
+        # read up to three times (period counts, boundary ranking, labelling):
+        # keep it once instead of recomputing its lineage (often a join chain)
+        keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
     if mode == "fraction":
-        n = keyed.count()
+        # n comes from the per-period counts: no separate count job
         if valid_fraction <= 0:
-            cut = int(math.floor(train_fraction * n))
-            out = _label_by_position(keyed, key_col, order_cols, [cut], [TRAIN, TEST])
-        else:
-            n_train = int(math.floor(train_fraction * n))
-            n_val = int(math.floor(valid_fraction * n))
-            n_train = max(1, min(n - 2, n_train))
-            n_val = max(1, min(n - n_train - 1, n_val))
             out = _label_by_position(keyed, key_col, order_cols,
-                                     [n_train, n_train + n_val], [TRAIN, VAL, TEST])
+                                     lambda n: [int(math.floor(train_fraction * n))], [TRAIN, TEST])
+        else:
+            def cuts(n):
+                n_train = int(math.floor(train_fraction * n))
+                n_val = int(math.floor(valid_fraction * n))
+                n_train = max(1, min(n - 2, n_train))
+                n_val = max(1, min(n - n_train - 1, n_val))
+                return [n_train, n_train + n_val]
+            out = _label_by_position(keyed, key_col, order_cols, cuts, [TRAIN, VAL, TEST])
     elif mode == "date":
         if test_start is None:
             raise ValueError("date mode needs test_start=(year, month)")
@@ -116,12 +124,13 @@ def temporal_split(df: DataFrame, year_col: str, month_col: str,
         if valid_fraction <= 0:
             out = pre.withColumn("split", F.lit(TRAIN)).unionByName(post)
         else:
-            n = pre.count()
+            counts = _period_counts(pre, key_col)
+            n = sum(c for _, c in counts)
             if n == 0:
                 out = post
             else:
                 n_val = max(1, min(n - 1, int(math.floor(valid_fraction * n))))
-                labelled = _label_by_position(pre, key_col, order_cols, [n - n_val], [TRAIN, VAL])
+                labelled = _label_by_position(pre, key_col, order_cols, [n - n_val], [TRAIN, VAL], counts)
                 out = labelled.unionByName(post)
     else:
         raise ValueError(f"unknown split mode {mode!r}")

@@ -36,6 +36,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     builder = (builder
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
+               # local mode: the driver JVM is the executor; 1g default thrashes GC
+               .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
