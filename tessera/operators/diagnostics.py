@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 from .lookup import fit_table
+from .quantiles import column_quantiles, grouped_quantiles, with_quantiles
 
 PSI_ALERT, PSI_HIGH = 0.15, 0.25
 KS_ALERT, KS_HIGH = 0.05, 0.01
@@ -25,20 +26,23 @@ def residual_summary(df: DataFrame, y: str = "y_true", p: str = "y_pred", by: li
     """mean, population std, median, quartiles, min, max, population skewness
     and excess kurtosis of ``y - p`` (A18)."""
     r = F.col(y) - F.col(p)
-    return df.groupBy(*by).agg(
-        F.avg(r).alias("mean"), F.stddev_pop(r).alias("std"), F.median(r).alias("median"),
-        F.percentile(r, 0.25).alias("q25"), F.percentile(r, 0.75).alias("q75"),
+    agg = df.groupBy(*by).agg(
+        F.avg(r).alias("mean"), F.stddev_pop(r).alias("std"),
         F.min(r).alias("min"), F.max(r).alias("max"), F.skewness(r).alias("skew"),
         F.kurtosis(r).alias("kurtosis"))
+    return with_quantiles(agg, df.withColumn("_r", r), list(by), "_r", [0.25, 0.5, 0.75],
+                          ["q25", "median", "q75"])
 
 
 def residuals_by_group(df: DataFrame, group_col: str, y: str = "y_true", p: str = "y_pred",
                        by: list[str] = ()) -> DataFrame:
     """Per group: mean, sample std, median of the residual and the count."""
     r = F.col(y) - F.col(p)
-    return df.where(F.col(group_col).isNotNull()).groupBy(*by, group_col).agg(
+    d = df.where(F.col(group_col).isNotNull())
+    agg = d.groupBy(*by, group_col).agg(
         F.avg(r).alias("residual_mean"), F.stddev_samp(r).alias("residual_std"),
-        F.median(r).alias("residual_median"), F.count(F.lit(1)).alias("count"))
+        F.count(F.lit(1)).alias("count"))
+    return with_quantiles(agg, d.withColumn("_r", r), [*by, group_col], "_r", [0.5], ["residual_median"])
 
 
 def worst_predictions(df: DataFrame, keys: list[str], n: int = 10, y: str = "y_true",
@@ -66,7 +70,7 @@ def residual_intervals(train_preds: DataFrame, preds: DataFrame, levels=(0.8, 0.
     for lv in levels:
         a = 1 - lv
         qs += [a / 2, 1 - a / 2]
-    row = train_preds.agg(F.percentile(F.col(y) - F.col(p), qs).alias("q")).first()["q"]
+    row = column_quantiles(train_preds.select((F.col(y) - F.col(p)).alias("_r")), ["_r"], qs)["_r"]
     out = preds
     for i, lv in enumerate(levels):
         tag = int(round(lv * 100))
@@ -91,8 +95,9 @@ def psi(long: DataFrame, baseline: str = "train", actual: str = "test", bins: in
     closed; actual values outside the baseline range fall in no bin but still
     count in the denominator; empty shares become 1e-4."""
     qs = [i / bins for i in range(bins + 1)]
-    edges = long.where(F.col(split_col) == baseline).groupBy("feature").agg(
-        F.array_distinct(F.array_sort(F.percentile("value", qs))).alias("_edges"))
+    names = [f"_e{i}" for i in range(len(qs))]
+    edges = grouped_quantiles(long.where(F.col(split_col) == baseline), ["feature"], "value", qs, names) \
+        .select("feature", F.array_distinct(F.array_sort(F.array(*names))).alias("_edges"))
     edges = fit_table(edges, ["feature"])
     e = F.col("_edges")
     k = F.size(e) - 1

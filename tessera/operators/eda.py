@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import normal_cdf
 from .lookup import attach, fit_table
+from .quantiles import with_quantiles
 
 
 def describe(df: DataFrame, col: str) -> DataFrame:
     """count, mean, sample std, min, quartiles, max."""
     c = F.col(col)
-    return df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                  F.min(c).alias("min"), F.percentile(c, 0.25).alias("q25"), F.median(c).alias("median"),
-                  F.percentile(c, 0.75).alias("q75"), F.max(c).alias("max"))
+    agg = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+                 F.min(c).alias("min"), F.max(c).alias("max"))
+    return with_quantiles(agg, df, [], col, [0.25, 0.5, 0.75], ["q25", "median", "q75"]) \
+        .select("count", "mean", "std", "min", "q25", "median", "q75", "max")
 
 
 def sample_moments(c: Column) -> tuple[Column, Column, Column]:
@@ -83,8 +85,9 @@ def correlation_ratio(df: DataFrame, cat: str, num: str) -> DataFrame:
 
 def group_stats_cv(df: DataFrame, group: str, col: str) -> DataFrame:
     """count, mean, median, sample std and coefficient of variation %."""
-    return df.groupBy(group).agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.median(col).alias("median"),
-                                 F.stddev_samp(col).alias("std")) \
+    agg = df.groupBy(group).agg(F.count(col).alias("count"), F.avg(col).alias("mean"),
+                                F.stddev_samp(col).alias("std"))
+    return with_quantiles(agg, df.where(F.col(group).isNotNull()), [group], col, [0.5], ["median"]) \
         .withColumn("cv_pct", F.col("std") / F.col("mean") * 100)
 
 
@@ -102,9 +105,10 @@ def compare_stats(raw: DataFrame, filtered: DataFrame, col: str) -> DataFrame:
     def stats(d, tag):
         c = F.col(col)
         n, sk, ku = sample_moments(c)
-        a = d.agg(n.alias("count"), F.avg(c).alias("mean"), F.median(c).alias("median"),
+        a = d.agg(n.alias("count"), F.avg(c).alias("mean"),
                   F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"),
                   sk.alias("skew"), ku.alias("kurtosis"))
+        a = with_quantiles(a, d, [], col, [0.5], ["median"])
         names = ["count", "mean", "median", "std", "min", "max", "skew", "kurtosis"]
         return a.select(*[F.col(x).cast("double").alias(x) for x in names]) \
             .unpivot([], names, "statistic", tag)

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import column_quantiles
+
 
 def range_filter(df: DataFrame, ranges: dict[str, tuple]) -> DataFrame:
     """``{column: (min, max)}``; a falsy bound is ignored; NULLs drop out."""
@@ -53,9 +55,10 @@ def max_missing_filter(df: DataFrame, threshold: float | None) -> DataFrame:
 
 def iqr_bounds(df: DataFrame, column: str, factor: float = 1.5, exact: bool = True) -> tuple[float, float]:
     """Global fences ``[q1 - f*iqr, q3 + f*iqr]`` from one aggregation."""
-    q = (F.percentile(column, [0.25, 0.75]) if exact
-         else F.percentile_approx(column, [0.25, 0.75], 10000))
-    q1, q3 = df.agg(q.alias("q")).first()["q"]
+    if exact:
+        q1, q3 = column_quantiles(df, [column], [0.25, 0.75])[column]
+    else:
+        q1, q3 = df.agg(F.percentile_approx(column, [0.25, 0.75], 10000).alias("q")).first()["q"]
     iqr = q3 - q1
     return q1 - factor * iqr, q3 + factor * iqr
 

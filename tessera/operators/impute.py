@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import numeric_columns, string_columns
 from .columns import MISSING, q, wide_agg
 from .lookup import StatsTable, attach, fit_table
+from .quantiles import column_quantiles, grouped_quantiles
 
 
 @dataclass
@@ -28,30 +29,43 @@ class FittedImputer:
     groups: StatsTable | None = None
 
 
-def _num_agg(c: str, strategy: str):
-    return F.avg(q(c)) if strategy == "mean" else F.median(q(c))
-
-
 def fit_imputer(train: DataFrame, numeric_strategy: str = "median", group_col: str | None = None,
                 numeric_cols: list[str] | None = None, categorical_cols: list[str] | None = None
                 ) -> FittedImputer:
     excl = (group_col,) if group_col else ()
     nums = numeric_cols if numeric_cols is not None else numeric_columns(train, excl)
     cats = categorical_cols if categorical_cols is not None else string_columns(train, excl)
-    exprs = [_num_agg(c, numeric_strategy).alias(f"n{i}") for i, c in enumerate(nums)]
+    exprs = [F.avg(q(c)).alias(f"n{i}") for i, c in enumerate(nums)] if numeric_strategy == "mean" else []
     exprs += [F.mode(q(c), True).alias(f"c{i}") for i, c in enumerate(cats)]
     row = wide_agg(train, exprs) if exprs else {}
+    if numeric_strategy != "mean" and nums:
+        med = column_quantiles(train, nums, [0.5])
+        row.update({f"n{i}": med[c][0] for i, c in enumerate(nums)})
     fit = FittedImputer({c: row[f"n{i}"] for i, c in enumerate(nums)},
                         {c: (row[f"c{i}"] if row[f"c{i}"] is not None else MISSING)
                          for i, c in enumerate(cats)}, group_col)
     if group_col:
-        gexprs = []
-        for i, c in enumerate(nums):
-            main = _num_agg(c, numeric_strategy)
-            gexprs.append(F.coalesce(main, F.avg(q(c))).alias(f"_gn{i}"))
+        gexprs = [F.avg(q(c)).alias(f"_gm{i}") for i, c in enumerate(nums)]
         gexprs += [F.mode(q(c), True).alias(f"_gc{i}") for i, c in enumerate(cats)]
         if gexprs:
-            fit.groups = fit_table(train.groupBy(group_col).agg(*gexprs), [group_col])
+            g = train.where(F.col(group_col).isNotNull()).groupBy(group_col).agg(*gexprs)
+            if numeric_strategy != "mean" and nums:
+                # exact group medians for all numeric columns in one ranking pass:
+                # stack (group, column, value) and rank by (group, column, value)
+                long = train.where(F.col(group_col).isNotNull()).select(
+                    group_col, F.explode(F.array(*[F.struct(F.lit(i).alias("_c"), q(c).cast("double").alias("_x"))
+                                                   for i, c in enumerate(nums)])).alias("_s")) \
+                    .select(group_col, "_s._c", "_s._x")
+                med = grouped_quantiles(long, [group_col, "_c"], "_x", [0.5], ["_med"]) \
+                    .groupBy(group_col).pivot("_c", list(range(len(nums)))).agg(F.first("_med"))
+                med = med.select(group_col, *[F.col(f"`{i}`").alias(f"_gmed{i}") for i in range(len(nums))])
+                g = g.join(med, group_col, "left")
+                g = g.select(group_col, *[F.coalesce(f"_gmed{i}", f"_gm{i}").alias(f"_gn{i}") for i in range(len(nums))],
+                             *[f"_gc{i}" for i in range(len(cats))])
+            else:
+                g = g.select(group_col, *[F.col(f"_gm{i}").alias(f"_gn{i}") for i in range(len(nums))],
+                             *[f"_gc{i}" for i in range(len(cats))])
+            fit.groups = fit_table(g, [group_col])
     return fit
 
 

@@ -23,17 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .lookup import fit_table
+from .quantiles import column_quantiles, grouped_quantiles
 
 _ALL = "__all__"
 
 
-def _fences(v: str, method: str, iqr_factor: float, z_thresh: float, exact: bool = True):
-    q = (F.percentile(v, [0.25, 0.5, 0.75]) if exact
-         else F.percentile_approx(v, [0.25, 0.5, 0.75], 10000))
-    return [F.count(F.lit(1)).alias("_n"), q.alias("_q"),
-            F.avg(v).alias("_mean"), F.stddev_pop(v).alias("_std")]
-
-
 def _inlier_expr(v: Column, method: str, iqr_factor: float, z_thresh: float) -> Column:
     q1, q3 = F.col("_q")[0], F.col("_q")[2]
     iqr = q3 - q1
@@ -50,9 +44,26 @@ def _inlier_expr(v: Column, method: str, iqr_factor: float, z_thresh: float) ->
 
 
 def _global_stats(df: DataFrame, target: str, exact: bool) -> dict:
-    """Global fences as driver-side scalars (one aggregate row)."""
-    r = df.agg(*_fences(target, "", 0, 0, exact)).first()
-    return {"_n": r["_n"], "_q": r["_q"], "_mean": r["_mean"], "_std": r["_std"]}
+    """Global fences as driver-side scalars (one aggregate row + one exact
+    quantile ranking)."""
+    r = df.agg(F.count(F.lit(1)).alias("_n"), F.avg(target).alias("_mean"),
+               F.stddev_pop(target).alias("_std")).first()
+    if exact:
+        q = column_quantiles(df, [target], [0.25, 0.5, 0.75])[target]
+    else:
+        q = df.agg(F.percentile_approx(target, [0.25, 0.5, 0.75], 10000)).first()[0]
+    return {"_n": r["_n"], "_q": q, "_mean": r["_mean"], "_std": r["_std"]}
+
+
+def _group_stats(df: DataFrame, group_col: str, target: str, exact: bool) -> DataFrame:
+    base = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("_n"), F.avg(target).alias("_mean"),
+                                     F.stddev_pop(target).alias("_std"))
+    if not exact:
+        q = df.groupBy(group_col).agg(F.percentile_approx(target, [0.25, 0.5, 0.75], 10000).alias("_q"))
+        return base.join(q, group_col, "left")
+    q = grouped_quantiles(df.where(F.col(group_col).isNotNull()), [group_col], target, [0.25, 0.5, 0.75],
+                          ["_qa", "_qb", "_qc"])
+    return base.join(q, group_col, "left").withColumn("_q", F.array("_qa", "_qb", "_qc")).drop("_qa", "_qb", "_qc")
 
 
 def _lit_stats(st: dict) -> dict:
@@ -71,8 +82,7 @@ def flag_inliers(df: DataFrame, target: str, method: str = "iqr", group_col: str
     if not group_col:
         out = df.withColumns(_lit_stats(_global_stats(df, target, exact)))
         return out.withColumn(out_col, _inlier_expr(v, method, iqr_factor, z_thresh)).drop(*tmp)
-    aggs = _fences(target, method, iqr_factor, z_thresh, exact)
-    gstats = fit_table(df.groupBy(group_col).agg(*aggs), [group_col])
+    gstats = fit_table(_group_stats(df, group_col, target, exact), [group_col])
     out = df.join(gstats.joinable(), group_col, "left")
     small = F.col("_n") < min_group_size
     if fallback == "global":
@@ -90,10 +100,12 @@ def modified_zscore_inliers(df: DataFrame, target: str, thresh: float = 3.5,
                             out_col: str = "is_inlier_mz") -> DataFrame:
     """``0.6745 (y - median) / (MAD + 1e-8)``, |.| <= 3.5 is an inlier.
     Two passes: the median, then the median absolute deviation."""
-    med = df.agg(F.median(target)).first()[0]
-    mad = df.agg(F.median(F.abs(F.col(target) - F.lit(med)))).first()[0]
+    med = column_quantiles(df, [target], [0.5])[target][0]
     if med is None:
         return df.withColumn(out_col, F.lit(False))
+    mad = column_quantiles(df.select(F.abs(F.col(target) - F.lit(med)).alias("_ad")), ["_ad"], [0.5])["_ad"][0]
+    if mad is None:
+        return df.withColumn(out_col, F.lit(False))
     mz = F.lit(0.6745) * (F.col(target) - F.lit(med)) / (F.lit(mad) + 1e-8)
     return df.withColumn(out_col, F.coalesce(F.abs(mz) <= thresh, F.lit(False)))
 
@@ -212,7 +224,7 @@ def isolation_forest_inliers(df: DataFrame, target: str, contamination: float =
     scored = (rows.withColumn("_b", b_of(F.col("_v")))
               .join(iv, ["_g", "_b"])
               .where((F.col("_v") >= F.col("_lo")) & (F.col("_v") < F.col("_hi"))))
-    thr = fit_table(scored.groupBy("_g").agg(F.percentile("_score", 1 - contamination).alias("_thr")), ["_g"])
+    thr = fit_table(grouped_quantiles(scored, ["_g"], "_score", [1 - contamination], ["_thr"]), ["_g"])
     flagged = (scored.join(thr.joinable(), "_g")
                .withColumn(out_col, F.col("_score") <= F.col("_thr"))
                .select(*df.columns, out_col))

@@ -23,6 +23,8 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
                       names: list[str] | None = None) -> DataFrame:
     """One row per group (NULL values ignored) with one column per quantile."""
     names = names or [f"q{int(round(p * 100))}" for p in probs]
+    if not keys:
+        return grouped_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, names).drop("_all")
     d = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
     ranked = global_positions(d, [*keys, "_v"], "_pos")
@@ -72,3 +74,33 @@ def long_quantiles(df: DataFrame, specs: list[tuple[list[str], str]], probs: lis
     for f in frames[1:]:
         long = long.unionByName(f)
     return grouped_quantiles(long, ["_spec", "_key"], "_val", probs, names)
+
+
+def column_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
+    """Global exact quantiles of several columns in one ranking pass; the
+    driver receives one small row per column."""
+    if not cols:
+        return {}
+    names = [f"_p{i}" for i in range(len(probs))]
+    rows = long_quantiles(df, [([], c) for c in cols], probs, names).collect()
+    got = {r["_spec"]: [r[n] for n in names] for r in rows}
+    return {c: got.get(i, [None] * len(probs)) for i, c in enumerate(cols)}
+
+
+def attach_group_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
+                           names: list[str], source: DataFrame | None = None) -> DataFrame:
+    """Join exact per-group quantiles of ``value`` (computed on ``source``,
+    default ``df``) onto the rows of ``df``."""
+    q = fit_table(grouped_quantiles(source if source is not None else df, keys, value, probs, names), keys)
+    return df.join(q.joinable(), keys, "left")
+
+
+def with_quantiles(agg_df: DataFrame, source: DataFrame, by: list[str], value: str, probs: list[float],
+                   names: list[str]) -> DataFrame:
+    """Add exact quantiles of ``source[value]`` per ``by`` group to an
+    aggregate keyed by ``by`` (global literals when ``by`` is empty)."""
+    by = list(by)
+    if by:
+        return agg_df.join(grouped_quantiles(source, by, value, probs, names), by, "left")
+    vals = column_quantiles(source, [value], probs)[value]
+    return agg_df.withColumns({n: F.lit(v).cast("double") for n, v in zip(names, vals)})

@@ -31,8 +31,11 @@ def global_positions(df: DataFrame, order_cols: list, out_col: str = "_pos",
     ordered = (df.repartitionByRange(n, *order_cols)
                .sortWithinPartitions(*order_cols)
                .withColumn("_pid", F.spark_partition_id())
-               .withColumn("_mid", F.monotonically_increasing_id())
-               .checkpoint(eager=True))
+               .withColumn("_mid", F.monotonically_increasing_id()))
+    # Reliable checkpoint: the ids used for the offsets and for the rows come
+    # from the same written data, even if executors are lost (persisting
+    # instead was measured to give inconsistent ids under AQE re-planning).
+    ordered = ordered.checkpoint(eager=True)
     parts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"),
                                         F.min("_mid").alias("_m0"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -2,8 +2,9 @@
 
 Bounds and centre/scale values come from one aggregation over the training
 rows and are applied as column expressions (literals), so the transform is a
-narrow map with no join.  Exact quantiles use ``percentile`` (same linear
-interpolation as numpy); ``exact=False`` switches to ``percentile_approx``.
+narrow map with no join.  Exact quantiles come from the range-partitioned
+ranking in :mod:`.quantiles` (numpy's linear interpolation);
+``exact=False`` switches to ``percentile_approx``.
 """
 from __future__ import annotations
 
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .columns import q, wide_agg
+from .quantiles import column_quantiles
 
 
 def _pct(c: str, ps: list[float], exact: bool):
@@ -21,6 +23,9 @@ def _pct(c: str, ps: list[float], exact: bool):
 
 def fit_winsor(train: DataFrame, cols: list[str], lower: float = 0.01, upper: float = 0.99,
                exact: bool = True) -> dict:
+    if exact:
+        qs = column_quantiles(train, cols, [lower, upper])
+        return {c: tuple(v) for c, v in qs.items() if v[0] is not None}
     row = wide_agg(train, [_pct(c, [lower, upper], exact).alias(f"w{i}") for i, c in enumerate(cols)])
     return {c: tuple(row[f"w{i}"]) for i, c in enumerate(cols) if row[f"w{i}"] is not None}
 
@@ -44,7 +49,11 @@ def fit_scaler(train: DataFrame, cols: list[str], kind: str = "standard", with_m
     """``standard``: mean / population std (K2); ``robust``: median / IQR (K3).
     A zero scale becomes 1."""
     if kind == "robust":
-        row = wide_agg(train, [_pct(c, [0.25, 0.5, 0.75], exact).alias(f"r{i}") for i, c in enumerate(cols)])
+        if exact:
+            qs = column_quantiles(train, cols, [0.25, 0.5, 0.75])
+            row = {f"r{i}": qs[c] for i, c in enumerate(cols)}
+        else:
+            row = wide_agg(train, [_pct(c, [0.25, 0.5, 0.75], exact).alias(f"r{i}") for i, c in enumerate(cols)])
         center = {c: (row[f"r{i}"][1] if with_mean else 0.0) for i, c in enumerate(cols)}
         scale = {}
         for i, c in enumerate(cols):

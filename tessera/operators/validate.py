@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import numeric_columns, string_columns
 from .columns import q
+from .quantiles import with_quantiles
 
 CRITICAL, ERROR, WARNING, INFO = "CRITICAL", "ERROR", "WARNING", "INFO"
 ISSUE_SCHEMA = ("dataset string, check string, severity string, column string, n_violations long, "
@@ -195,7 +196,9 @@ class Validator:
             return []
         long = df.select(*[q(c).cast("double").alias(c) for c in nums]).unpivot([], nums, "feature", "v") \
             .where(F.col("v").isNotNull())
-        st = long.groupBy("feature").agg(F.percentile("v", [0.25, 0.75]).alias("_q"), F.count(F.lit(1)).alias("_n"))
+        st = long.groupBy("feature").agg(F.count(F.lit(1)).alias("_n"))
+        st = with_quantiles(st, long, ["feature"], "v", [0.25, 0.75], ["_qa", "_qb"]) \
+            .withColumn("_q", F.array("_qa", "_qb")).drop("_qa", "_qb")
         j = long.join(F.broadcast(st), "feature")   # one row per numeric column
         lo = F.col("_q")[0] - 1.5 * (F.col("_q")[1] - F.col("_q")[0])
         hi = F.col("_q")[1] + 1.5 * (F.col("_q")[1] - F.col("_q")[0])

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..operators import eda
 from ..operators import outliers as ol
+from ..operators.quantiles import with_quantiles
 from .base import KEY_OUT, ORDER_KEY, sales, with_sales
 from .registry import register
 
@@ -110,8 +111,10 @@ SELECT year, round(avg(l_extendedprice), 4) AS mean_price, round(median(l_extend
 FROM sales GROUP BY year"""))
 def q_yearly_price(spark, sf_dir):
     """Mean and median price per year."""
-    return sales(spark, sf_dir).groupBy("year").agg(F.round(F.avg("l_extendedprice"), 4).alias("mean_price"),
-                                                    F.round(F.median("l_extendedprice"), 4).alias("median_price"))
+    s = sales(spark, sf_dir)
+    agg = s.groupBy("year").agg(F.round(F.avg("l_extendedprice"), 4).alias("mean_price"))
+    out = with_quantiles(agg, s, ["year"], "l_extendedprice", [0.5], ["median_price"])
+    return out.withColumn("median_price", F.round("median_price", 4))
 
 
 @register("normality_by_transform", with_sales("""
@@ -186,9 +189,10 @@ def q_outlier_method_comparison(spark, sf_dir):
     inl = F.col("inlier")
     out = long.groupBy("method").agg(
         F.count_if(~inl).alias("n_outliers"), F.round(F.count_if(~inl) * 100.0 / F.count(F.lit(1)), 6).alias("pct"),
-        F.round(F.avg(F.when(inl, y)), 4).alias("inlier_mean"), F.round(F.median(F.when(inl, y)), 4).alias("inlier_median"),
+        F.round(F.avg(F.when(inl, y)), 4).alias("inlier_mean"),
         F.round(F.stddev_samp(F.when(inl, y)), 4).alias("inlier_std"))
-    return out
+    out = with_quantiles(out, long.where(inl), ["method"], "l_extendedprice", [0.5], ["inlier_median"])
+    return out.withColumn("inlier_median", F.round("inlier_median", 4))
 
 
 @register("outlier_overlap", with_sales(_FLAG_SQL + """
