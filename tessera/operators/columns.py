@@ -30,6 +30,25 @@ def wide_agg(df: DataFrame, exprs: list) -> dict:
     return out
 
 
+def distinct_counts(df: DataFrame, cols: list[str], exact: bool = True) -> dict[str, int]:
+    """Distinct non-null values per column.
+
+    Many ``count(DISTINCT c)`` in one aggregate make Spark expand every row
+    once per column; instead the columns are unpivoted to (column, value)
+    text pairs and counted with one grouped aggregation (the pairs are
+    de-duplicated map-side).  ``exact=False`` uses HyperLogLog per column.
+    """
+    if not cols:
+        return {}
+    if not exact:
+        row = wide_agg(df, [F.approx_count_distinct(q(c)).alias(f"d{i}") for i, c in enumerate(cols)])
+        return {c: row[f"d{i}"] for i, c in enumerate(cols)}
+    long = df.select(*[q(c).cast("string").alias(c) for c in cols]) \
+        .unpivot([], cols, "_col", "_val").where(F.col("_val").isNotNull())
+    got = {r["_col"]: r["n"] for r in long.groupBy("_col").agg(F.countDistinct("_val").alias("n")).collect()}
+    return {c: int(got.get(c, 0)) for c in cols}
+
+
 # P5 -------------------------------------------------------------------------
 def datetimes_to_iso(df: DataFrame) -> DataFrame:
     """Timestamps -> ``yyyy-MM-dd'T'HH:mm:ss``; dates -> ``yyyy-MM-dd``."""
@@ -45,13 +64,12 @@ def datetimes_to_iso(df: DataFrame) -> DataFrame:
 # P6, P13, P17 ---------------------------------------------------------------
 def column_null_stats(df: DataFrame, cols: list[str] | None = None) -> dict:
     cols = cols or df.columns
-    exprs = []
-    for i, c in enumerate(cols):
-        exprs += [F.count(q(c)).alias(f"nn{i}"), F.count_distinct(q(c)).alias(f"nd{i}")]
+    exprs = [F.count(q(c)).alias(f"nn{i}") for i, c in enumerate(cols)]
     exprs.append(F.count(F.lit(1)).alias("_rows"))
     row = wide_agg(df, exprs)
+    nd = distinct_counts(df, cols)
     n = row["_rows"]
-    return {c: {"non_null": row[f"nn{i}"], "distinct": row[f"nd{i}"], "rows": n}
+    return {c: {"non_null": row[f"nn{i}"], "distinct": nd[c], "rows": n}
             for i, c in enumerate(cols)}
 
 
@@ -87,9 +105,8 @@ def non_descriptive_columns(train: DataFrame, na_threshold: float = 0.98,
 
 def extreme_cardinality_columns(train: DataFrame, max_distinct: int = 500, exact: bool = True) -> list[str]:
     cols = string_columns(train)
-    agg = F.count_distinct if exact else F.approx_count_distinct
-    row = wide_agg(train, [agg(q(c)).alias(f"d{i}") for i, c in enumerate(cols)])
-    return [c for i, c in enumerate(cols) if row[f"d{i}"] > max_distinct]
+    nd = distinct_counts(train, cols, exact)
+    return [c for c in cols if nd[c] > max_distinct]
 
 
 # P8 -------------------------------------------------------------------------
@@ -233,8 +250,9 @@ def column_profile(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     cols = df.columns
     exprs = [F.count(F.lit(1)).alias("_rows")]
+    nd = distinct_counts(df, cols)
     for i, c in enumerate(cols):
-        exprs += [F.count(q(c)).alias(f"nn{i}"), F.count_distinct(q(c)).alias(f"nd{i}"),
+        exprs += [F.count(q(c)).alias(f"nn{i}"), F.lit(nd[c]).cast("long").alias(f"nd{i}"),
                   F.first(q(c).cast("string"), ignorenulls=True).alias(f"fs{i}")]
     # The aggregated row stays on the executors: build the long form with a
     # stack over the single-row result.

@@ -1,8 +1,9 @@
 """Fitted statistics tables and the joins that attach them.
 
 A fit produces a small DataFrame (one row per group).  It is cached and
-counted once, so its size is *known* before we decide how to join it:
-below ``max_broadcast_rows`` it is broadcast, otherwise the join is left to
+counted once, so its size is *known* before we decide how to join it: when
+both its row count and its estimated bytes (rows x fixed width of the
+schema) are under the bounds it is broadcast, otherwise the join is left to
 a shuffle join (and AQE may still convert it at runtime from the real
 materialised size).
 """
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 @dataclass
@@ -24,8 +26,21 @@ class StatsTable:
     rows: int
     keys: tuple
 
+    def est_bytes(self) -> int:
+        """Rows x an upper-ish fixed width per field (text counted as 64 bytes,
+        arrays as 256) plus per-row overhead."""
+        def width(dt) -> int:
+            name = dt.typeName()
+            if name in ("string", "binary"):
+                return 64
+            if name in ("array", "map", "struct"):
+                return 256
+            return 8
+        return self.rows * (sum(width(f.dataType) for f in self.df.schema.fields) + 16)
+
     def joinable(self, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-        return F.broadcast(self.df) if self.rows <= max_rows else self.df
+        small = self.rows <= max_rows and self.est_bytes() <= MAX_BROADCAST_BYTES
+        return F.broadcast(self.df) if small else self.df
 
 
 def fit_table(df: DataFrame, keys, drop_null_keys: bool = True) -> StatsTable:
