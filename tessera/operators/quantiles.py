@@ -12,6 +12,7 @@ DuckDB ``quantile_cont``.
 """
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +28,15 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
         return grouped_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, names).drop("_all")
     d = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
+    # The range partitioner samples its input and then shuffles it: keep the
+    # narrow (keys, value) projection once instead of evaluating the upstream
+    # lineage twice; it is released as soon as the ranking is checkpointed.
+    d = d.persist(StorageLevel.MEMORY_AND_DISK)
     ranked = global_positions(d, [*keys, "_v"], "_pos")
-    start = fit_table(ranked.groupBy(*keys).agg(F.min("_pos").alias("_start"),
-                                                F.count(F.lit(1)).alias("_n")), keys, drop_null_keys=False)
-    r = ranked.join(start.joinable(), keys).withColumn("_rank", F.col("_pos") - F.col("_start"))
+    d.unpersist()
+    # one row per group; AQE broadcasts it when its materialised size is small
+    start = ranked.groupBy(*keys).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    r = ranked.join(start, keys).withColumn("_rank", F.col("_pos") - F.col("_start"))
     wanted = None
     parts = []
     for i, p in enumerate(probs):
