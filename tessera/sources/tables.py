@@ -21,7 +21,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 
-SPREAD_MIN_BYTES = 1 << 20
+SPREAD_MIN_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,7 +42,7 @@ def spread(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # pragma: no cover - plan API differences
         return df
     if size >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < cores:
