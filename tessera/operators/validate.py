@@ -182,11 +182,17 @@ class Validator:
             keys = [keys] if isinstance(keys, str) else list(keys)
             g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"), F.min(self.id_col).alias("_first"))
             dups = g.where(F.col("_c") > 1)
-            later = df.join(dups, keys).where(F.col(self.id_col) > F.col("_first"))
-            n = later.count()
+            n = dups.agg(F.sum(F.col("_c") - 1)).first()[0] or 0
             if n:
-                ids = ",".join(str(r[0]) for r in later.select(self.id_col).orderBy(self.id_col).limit(10).collect())
-                out.append((name, "uniqueness", ERROR, "+".join(keys), n, ids, "duplicate key"))
+                if self.id_col in keys:
+                    # the id itself repeats: report the repeated values
+                    sample = dups.select(self.id_col).orderBy(self.id_col).limit(10)
+                else:
+                    # ids of the 2nd+ occurrences of each duplicated key
+                    sample = df.join(dups, keys).where(F.col(self.id_col) > F.col("_first")) \
+                        .select(self.id_col).orderBy(self.id_col).limit(10)
+                ids = ",".join(str(r[0]) for r in sample.collect())
+                out.append((name, "uniqueness", ERROR, "+".join(keys), int(n), ids, "duplicate key"))
         return out
 
     # -- V9 ---------------------------------------------------------------------------
@@ -248,6 +254,24 @@ class Validator:
         return report
 
 
+def template_config(df: DataFrame, id_col: str | None = None, max_missing_share: float = 0.5) -> ValidationConfig:
+    """A starting configuration derived from the schema alone (V13): every
+    current column required, its type class expected, the id column unique
+    and not NULL."""
+    cfg = ValidationConfig(required_columns=list(df.columns),
+                           dtypes={f.name: _kind(f.dataType) for f in df.schema.fields},
+                           max_missing_share=max_missing_share)
+    if id_col:
+        cfg.unique = [[id_col]]
+        cfg.not_null = [id_col]
+    return cfg
+
+
+def quick_validate(spark: SparkSession, df: DataFrame, id_col: str, name: str = "dataset") -> DataFrame:
+    """Validate with :func:`template_config`."""
+    return Validator(spark, id_col, template_config(df, id_col)).validate(df, name)
+
+
 def summary(report: DataFrame) -> DataFrame:
     """Issue counts by severity."""
     return report.groupBy("severity").agg(F.count(F.lit(1)).alias("n_issues"),
