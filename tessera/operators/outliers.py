@@ -43,21 +43,26 @@ def _inlier_expr(v: Column, method: str, iqr_factor: float, z_thresh: float) ->
     raise ValueError(method)
 
 
-def _global_stats(df: DataFrame, target: str, exact: bool) -> dict:
+def _global_stats(df: DataFrame, target: str, exact: bool, need_q: bool = True) -> dict:
     """Global fences as driver-side scalars (one aggregate row + one exact
     quantile ranking)."""
     r = df.agg(F.count(F.lit(1)).alias("_n"), F.avg(target).alias("_mean"),
                F.stddev_pop(target).alias("_std")).first()
-    if exact:
+    if not need_q:
+        q = [None, None, None]
+    elif exact:
         q = column_quantiles(df, [target], [0.25, 0.5, 0.75])[target]
     else:
         q = df.agg(F.percentile_approx(target, [0.25, 0.5, 0.75], 10000)).first()[0]
     return {"_n": r["_n"], "_q": q, "_mean": r["_mean"], "_std": r["_std"]}
 
 
-def _group_stats(df: DataFrame, group_col: str, target: str, exact: bool) -> DataFrame:
+def _group_stats(df: DataFrame, group_col: str, target: str, exact: bool, need_q: bool = True) -> DataFrame:
     base = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("_n"), F.avg(target).alias("_mean"),
                                      F.stddev_pop(target).alias("_std"))
+    if not need_q:
+        # z-scores need no quantiles: skip the ranking pass
+        return base.withColumn("_q", F.array(*[F.lit(None).cast("double")] * 3))
     if not exact:
         q = df.groupBy(group_col).agg(F.percentile_approx(target, [0.25, 0.5, 0.75], 10000).alias("_q"))
         return base.join(q, group_col, "left")
@@ -79,14 +84,15 @@ def flag_inliers(df: DataFrame, target: str, method: str = "iqr", group_col: str
     """Add a boolean inlier column (IQR fence or z-score, O1/O2/O5)."""
     v = F.col(target).cast("double")
     tmp = ("_n", "_q", "_mean", "_std")
+    need_q = method == "iqr"
     if not group_col:
-        out = df.withColumns(_lit_stats(_global_stats(df, target, exact)))
+        out = df.withColumns(_lit_stats(_global_stats(df, target, exact, need_q)))
         return out.withColumn(out_col, _inlier_expr(v, method, iqr_factor, z_thresh)).drop(*tmp)
-    gstats = fit_table(_group_stats(df, group_col, target, exact), [group_col])
+    gstats = fit_table(_group_stats(df, group_col, target, exact, need_q), [group_col])
     out = df.join(gstats.joinable(), group_col, "left")
     small = F.col("_n") < min_group_size
     if fallback == "global":
-        glob = _lit_stats(_global_stats(df, target, exact))
+        glob = _lit_stats(_global_stats(df, target, exact, need_q))
         for c in ("_q", "_mean", "_std"):
             out = out.withColumn(c, F.when(small, glob[c]).otherwise(F.col(c)))
         flag = _inlier_expr(v, method, iqr_factor, z_thresh)
