@@ -32,7 +32,10 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
     # narrow (keys, value) projection once instead of evaluating the upstream
     # lineage twice; it is released as soon as the ranking is checkpointed.
     d = d.persist(StorageLevel.MEMORY_AND_DISK)
-    ranked = global_positions(d, [*keys, "_v"], "_pos")
+    # A tie-break spreads one repeated value of a hot group over several
+    # range partitions; tied rows carry the same value, so their order does
+    # not change any quantile.
+    ranked = global_positions(d.withColumn("_tb", F.rand(17)), [*keys, "_v", "_tb"], "_pos").drop("_tb")
     d.unpersist()
     # one row per group; AQE broadcasts it when its materialised size is small
     start = ranked.groupBy(*keys).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))

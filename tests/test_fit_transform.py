@@ -163,3 +163,12 @@ def test_contextual_no_leakage(spark):
     assert not forbidden & set(out.columns)
     periods = [r.year_month for r in st.tables["period"].df.collect()]
     assert max(periods) <= 202001
+
+
+def test_grouped_quantiles_with_heavy_ties(spark):
+    rows = [("hot", 5.0)] * 2000 + [("hot", float(v)) for v in range(100)] + [("cold", 1.0), ("cold", 3.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    got = {r.g: (r.q10, r.q50, r.q99) for r in grouped_quantiles(df, ["g"], "v", [0.1, 0.5, 0.99]).collect()}
+    for g in got:
+        vals = np.array([v for k, v in rows if k == g])
+        assert got[g] == pytest.approx(tuple(np.quantile(vals, [0.1, 0.5, 0.99])))
