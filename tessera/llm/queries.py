@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, token_count
+from . import byte_bpe, html_text, pii, token_count
 from .common import read_table
 
 TOKEN_LIMIT = 2048
@@ -34,3 +34,13 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(read_table(spark, sf_dir, "documents"),
                                   public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read_table(spark, sf_dir, "documents"))
