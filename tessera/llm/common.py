@@ -183,3 +183,19 @@ def shingles_of(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.nd
     for j in range(size):
         out = mix64(out ^ np.where(j < have, padded[at + j], _U(j + 1)), j + 1) if size > 1 else padded[at]
     return out, begin
+
+
+#: bytes of text that numpy code looks at together; whole texts, so at least one
+SLICE_BYTES = 4 << 20
+
+
+def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """Consecutive slices of a string array of about ``size`` bytes each."""
+    texts = one(texts)
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    at = np.frombuffer(texts.buffers()[1], width)[texts.offset:texts.offset + len(texts) + 1]
+    low = 0
+    while low < len(texts):
+        high = max(low + 1, int(np.searchsorted(at, at[low] + size, "right")) - 1)
+        yield texts.slice(low, high - low)
+        low = high

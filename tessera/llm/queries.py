@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, html_text, pii, token_count
+from . import byte_bpe, html_text, minhash_dedup, pii, quality, token_count
 from .common import read_table
 
 TOKEN_LIMIT = 2048
@@ -44,3 +44,13 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+@query
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, percent=80)
