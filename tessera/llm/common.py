@@ -199,3 +199,25 @@ def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:
         high = max(low + 1, int(np.searchsorted(at, at[low] + size, "right")) - 1)
         yield texts.slice(low, high - low)
         low = high
+
+
+def add_parts(parts: DataFrame, blocks: int) -> np.ndarray:
+    """Sum float64 arrays handed in by tasks as (block, bucket, part).
+
+    Parts meet within (block, bucket) and then within the block, so that no
+    task sees more than one part a bucket at the end; only the finished sums,
+    of a size the caller fixes, reach the driver.
+    """
+    ddl = "block int, bucket int, part binary"
+
+    def add(pdf):
+        total = np.zeros(len(pdf["part"].iloc[0]) // 8)
+        for p in pdf["part"]:
+            total += np.frombuffer(p)
+        out = pdf.iloc[:1].copy()
+        out["part"] = [total.tobytes()]
+        return out
+
+    sums = parts.groupBy("block", "bucket").applyInPandas(add, ddl).groupBy("block").applyInPandas(add, ddl)
+    found = {r.block: np.frombuffer(r.part) for r in sums.collect()}
+    return np.concatenate([found[i] for i in range(blocks)]) if found else np.zeros(0)

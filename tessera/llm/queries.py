@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, html_text, minhash_dedup, pii, quality, suffix_dedup, token_count
+from . import byte_bpe, decontaminate, fingerprints, html_text, minhash_dedup, pii, quality, suffix_dedup, token_count
 from .common import read_table
 
 TOKEN_LIMIT = 2048
@@ -64,3 +64,8 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
