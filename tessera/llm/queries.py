@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, fingerprints, html_text, minhash_dedup, pii, quality, suffix_dedup, token_count
+from . import byte_bpe, compact_windows, decontaminate, fingerprints, html_text, minhash_dedup, pii, quality, suffix_dedup, token_count
 from .common import read_table
 
 TOKEN_LIMIT = 2048
@@ -69,3 +69,8 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.passages(read_table(spark, sf_dir, "documents"))
