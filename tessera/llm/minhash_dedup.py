@@ -278,3 +278,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone = rows.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
     return linked.union(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
                                       F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
+                 percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, of the documents that are kept.
+
+    An id stays if any of its rows is kept; of its rows with equal texts one
+    stays.  Rows without words, or without an id, stay.
+    """
+    found = near_duplicates(docs, id_col, text_col, shingle, percent).where(F.col(id_col).isNotNull())
+    by_id = cut(found.groupBy(F.col(id_col).alias("of")).agg(F.max("kept").alias("kept"), F.count("*").alias("times")), "minhash-ids")
+    kept = docs.join(by_id.where("not kept").select("of"), F.col(id_col) == F.col("of"), "left_anti")
+    again = by_id.where("kept and times > 1").select("of")
+    if again.limit(1).count():
+        several = kept.join(again, F.col(id_col) == F.col("of"), "left_semi").dropDuplicates([id_col, text_col])
+        kept = kept.join(again, F.col(id_col) == F.col("of"), "left_anti").union(several)
+    return kept

@@ -259,3 +259,25 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     scored = map_batches(stats, f"id {id_type}, score double", make)
     return scored.select(F.col("id").alias(id_col), F.coalesce(remainder("id") == HELD_OUT, F.lit(False)).alias("held_out"),
                          "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             label_col: str = "quality", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches the threshold.
+
+    The model is fixed size, so the second pass over the texts scores and
+    filters in place: no shuffle.
+    """
+    model = fit(features(docs, id_col, text_col), labels, id_col, label_col)
+    cols = docs.columns
+    rows = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)], text_of(text_col).alias("t"))
+    ddl = ", ".join(f"k{i} {rows.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(cols)))
+
+    def make():
+        def fn(batch):
+            x = np.concatenate([statistics(part) for part in slices(batch.column(len(cols)))])
+            take = pa.array(np.flatnonzero(model.score(x) >= threshold))
+            return {f"k{i}": one(batch.column(i)).take(take) for i in range(len(cols))}
+        return fn
+
+    return map_batches(rows, ddl, make).toDF(*cols)
