@@ -66,6 +66,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents table, each one's result written and reread."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = cut(stage(spark, docs, sf_dir), name.replace(" ", "-"))
