@@ -72,26 +72,29 @@ def floor_features(c, prefix: str = "") -> dict[str, Column]:
 
 
 # N1 -------------------------------------------------------------------------
-def detect_json_keys(df: DataFrame, c: str, samples: int = 20, min_share: float = 0.2) -> list[str]:
-    """First-level keys present in >= ``min_share`` of the first ``samples``
-    non-null JSON objects of the column; [] when it is not a JSON column."""
-    sample = df.where(col(c).isNotNull()).select(col(c).alias("j")).limit(samples)
-    parsed = sample.select(F.from_json("j", "map<string,string>", {"mode": "PERMISSIVE"}).alias("m"))
-    stats = parsed.agg(F.count("m").alias("n_obj"),
-                       F.count(F.lit(1)).alias("n"),
-                       F.collect_list(F.map_keys("m")).alias("keys")).first()
-    if not stats or not stats["n_obj"]:
+def detect_json_keys(df: DataFrame, c: str, min_share: float = 0.2) -> list[str]:
+    """First-level keys of primitive values in >= ``min_share`` of the non-null
+    values of the column; [] when no value is a JSON object.
+
+    All rows count: keys are exploded and summed (partial aggregation), and
+    only keys that reach the share come to the driver, at most
+    ``1 / min_share`` times the keys of one object."""
+    rows = df.where(col(c).isNotNull()).select(col(c).alias("j"))
+    objects = F.json_object_keys("j")
+    n = rows.agg(F.count(F.lit(1)).alias("n"), F.count(objects).alias("o")).first()
+    if not n["o"]:
         return []
-    counts: dict[str, int] = {}
-    for ks in stats["keys"]:
-        for k in set(ks or []):
-            counts[k] = counts.get(k, 0) + 1
-    need = max(1, int(min_share * stats["n"]))
-    return sorted(k for k, v in counts.items() if v >= need)
+    parsed = F.from_json("j", "map<string,string>", {"mode": "PERMISSIVE"})
+    pairs = rows.where(objects.isNotNull()).select(F.explode(F.map_entries(parsed)).alias("e"))
+    plain = ~F.coalesce(F.col("e.value").rlike(r"^\s*[\[{]"), F.lit(False))  # nested values stay in the source
+    need = max(1, int(min_share * n["n"]))
+    keys = pairs.groupBy(F.col("e.key").alias("key")).agg(F.count(F.lit(1)).alias("k"), F.count_if(plain).alias("p"))
+    return sorted(r["key"] for r in keys.where((F.col("k") >= need) & (F.col("p") == F.col("k"))).select("key").collect())
 
 
 def json_key_columns(c: str, keys: list[str]) -> dict[str, Column]:
-    return {f"{c}__{k}": F.get_json_object(col(c), f"$.{k}") for k in keys}
+    """One column per key; keys are quoted, so dots in them are no paths."""
+    return {f"{c}__{k}": F.get_json_object(col(c), "$['" + k.replace("'", "\\'") + "']") for k in keys}
 
 
 def extract_json_features(df: DataFrame, columns: list[str] | None = None, **kw) -> DataFrame:

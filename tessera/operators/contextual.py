@@ -10,12 +10,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import EPS, months_between_periods, period_key, quarter
 from .lookup import StatsTable, attach, fit_table
 from .quantiles import group_key, long_quantiles
+from .ranking import global_positions
 
 
 def _q(c: str, p: float, exact: bool):
@@ -118,8 +119,7 @@ def fit_contextual(train: DataFrame, target: str, zone: str, type_: str,
         st.min_period = st.tables["period"].df.agg(F.min("year_month")).first()[0]
     if category and surface:
         cats = part(["_cat"], {}).df
-        # one row per category value: a tiny window over the cached fit result
-        codes = cats.withColumn("_cat_code", F.dense_rank().over(Window.orderBy("_cat")) - 1)
+        codes = global_positions(cats, ["_cat"], "_cat_code").withColumn("_cat_code", F.col("_cat_code").cast("int"))
         st.tables["category"] = StatsTable(codes, cats.count(), ("_cat",))
     return st
 

@@ -104,22 +104,26 @@ def psi(long: DataFrame, baseline: str = "train", actual: str = "test", bins: in
     idx = F.size(F.filter(e, lambda x: x <= F.col("value"))) - 1
     bin_ = (F.when((F.col("value") < F.element_at(e, 1)) | (F.col("value") > F.element_at(e, -1)), F.lit(None))
             .otherwise(F.least(idx, k - 1)))
-    rows = long.where(F.col(split_col).isin(baseline, actual)).join(edges.joinable(), "feature")
-    counts = rows.withColumn("_bin", bin_).groupBy("feature").agg(
-        F.count_if(F.col(split_col) == baseline).alias("_ne"),
-        F.count_if(F.col(split_col) == actual).alias("_na"))
-    per_bin = rows.withColumn("_bin", bin_).where(F.col("_bin").isNotNull()).groupBy("feature", "_bin").agg(
-        F.count_if(F.col(split_col) == baseline).alias("_ce"),
-        F.count_if(F.col(split_col) == actual).alias("_ca"))
-    all_bins = edges.df.select("feature", F.explode(F.sequence(F.lit(0), F.greatest(F.size("_edges") - 2, F.lit(0))))
-                               .alias("_bin"))
-    j = (all_bins.join(per_bin, ["feature", "_bin"], "left").join(counts, "feature")
-         .na.fill(0, ["_ce", "_ca"]))
-    es = F.col("_ce") / F.col("_ne")
-    as_ = F.col("_ca") / F.col("_na")
-    es = F.when(es == 0, F.lit(1e-4)).otherwise(es)
-    as_ = F.when(as_ == 0, F.lit(1e-4)).otherwise(as_)
-    return j.groupBy("feature").agg(F.abs(F.sum((as_ - es) * F.log(as_ / es))).alias("psi"))
+    # one aggregation: per bin, values outside all bins (also of a feature without a baseline) under NULL
+    rows = long.where(F.col(split_col).isin(baseline, actual)).join(edges.joinable(), "feature", "left")
+    counts = rows.groupBy("feature", bin_.alias("_bin")).agg(
+        F.count_if(F.col(split_col) == baseline).alias("_ce"), F.count_if(F.col(split_col) == actual).alias("_ca"))
+    per = counts.groupBy("feature").agg(
+        F.sum("_ce").alias("_ne"), F.sum("_ca").alias("_na"),
+        F.map_from_entries(F.collect_list(F.when(F.col("_bin").isNotNull(), F.struct("_bin", F.struct("_ce", "_ca"))))).alias("_m"))
+    per = per.join(edges.joinable(), "feature", "left")
+    bins_ = F.sequence(F.lit(0), F.greatest(F.size("_edges") - 2, F.lit(0)))
+
+    def term(i):
+        c = F.try_element_at("_m", i)
+        ce, ca = F.coalesce(c["_ce"], F.lit(0)) / F.col("_ne"), F.coalesce(c["_ca"], F.lit(0)) / F.col("_na")
+        es, as_ = F.when(ce == 0, F.lit(1e-4)).otherwise(ce), F.when(ca == 0, F.lit(1e-4)).otherwise(ca)
+        return (as_ - es) * F.log(as_ / es)
+
+    total = F.abs(F.aggregate(F.transform(bins_, term), F.lit(0.0), lambda s, x: s + x))
+    # without a baseline, or without actual values, there is nothing to compare: NULL, but reported
+    known = F.col("_edges").isNotNull() & (F.col("_ne") > 0) & (F.col("_na") > 0)
+    return per.select("feature", F.when(known, total).alias("psi"))
 
 
 def running_sums(df: DataFrame, key_cols: list[str], order_col: str, sum_cols: list[str],

@@ -54,9 +54,11 @@ def cramers_v(df: DataFrame, x: str, y: str) -> DataFrame:
     n, r, k = tot["n"], tot["r"], tot["k"]
     e = F.col("nx") * F.col("ny") / F.lit(n)
     if r == 2 and k == 2:
-        # Yates: (|O-E| - 0.5)^2 / E summed over all four cells (all observed or E-only)
-        term = F.pow(F.greatest(F.abs(F.col("o") - e) - 0.5, F.lit(0.0)), 2) / e
-        chi2 = j.agg(F.sum(term)).first()[0]
+        # Yates over all four cells: a cell without rows counts as well, with O = 0
+        grid = rx.df.select(F.col(x), "nx").join(F.broadcast(ry.df.select(F.col(y), "ny")), F.lit(True)).join(cells, [x, y], "left")
+        off = F.abs(F.coalesce(F.col("o"), F.lit(0)) - e)
+        term = F.pow(off - F.least(F.lit(0.5), off), 2) / e
+        chi2 = grid.agg(F.sum(term)).first()[0]
     else:
         chi2 = j.agg(F.sum(F.col("o") * F.col("o") / e)).first()[0] - n
     phi2 = chi2 / n

@@ -59,12 +59,16 @@ def iqr_bounds(df: DataFrame, column: str, factor: float = 1.5, exact: bool = Tr
         q1, q3 = column_quantiles(df, [column], [0.25, 0.75])[column]
     else:
         q1, q3 = df.agg(F.percentile_approx(column, [0.25, 0.75], 10000).alias("q")).first()["q"]
+    if q1 is None or q3 is None:
+        return None, None
     iqr = q3 - q1
     return q1 - factor * iqr, q3 + factor * iqr
 
 
 def iqr_filter(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
     lo, hi = iqr_bounds(df, column, factor)
+    if lo is None:  # no value to fence
+        return df.where(F.lit(False))
     return df.where((F.col(column) >= lo) & (F.col(column) <= hi))
 
 

@@ -29,6 +29,17 @@ class FittedImputer:
     groups: StatsTable | None = None
 
 
+def modes(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """(keys, _c, _m): the commonest non-NULL value of each column, of equals the
+    least.  Values are counted first (combined map-side), so no task holds the
+    values of a group."""
+    long = df.select(*keys, F.explode(F.array(*[F.struct(F.lit(i).alias("_c"), q(c).cast("string").alias("_x"))
+                                                for i, c in enumerate(cols)])).alias("_s")).select(*keys, "_s._c", "_s._x")
+    counted = long.where(F.col("_x").isNotNull()).groupBy(*keys, "_c", "_x").agg(F.count(F.lit(1)).alias("_k"))
+    best = counted.groupBy(*keys, "_c").agg(F.min(F.struct((-F.col("_k")).alias("k"), F.col("_x").alias("x"))).alias("_b"))
+    return best.select(*keys, "_c", F.col("_b.x").alias("_m"))
+
+
 def fit_imputer(train: DataFrame, numeric_strategy: str = "median", group_col: str | None = None,
                 numeric_cols: list[str] | None = None, categorical_cols: list[str] | None = None
                 ) -> FittedImputer:
@@ -36,8 +47,9 @@ def fit_imputer(train: DataFrame, numeric_strategy: str = "median", group_col: s
     nums = numeric_cols if numeric_cols is not None else numeric_columns(train, excl)
     cats = categorical_cols if categorical_cols is not None else string_columns(train, excl)
     exprs = [F.avg(q(c)).alias(f"n{i}") for i, c in enumerate(nums)] if numeric_strategy == "mean" else []
-    exprs += [F.mode(q(c), True).alias(f"c{i}") for i, c in enumerate(cats)]
     row = wide_agg(train, exprs) if exprs else {}
+    found = {r["_c"]: r["_m"] for r in modes(train, [], cats).collect()} if cats else {}  # a row a column
+    row.update({f"c{i}": found.get(i) for i in range(len(cats))})
     if numeric_strategy != "mean" and nums:
         med = column_quantiles(train, nums, [0.5])
         row.update({f"n{i}": med[c][0] for i, c in enumerate(nums)})
@@ -46,9 +58,13 @@ def fit_imputer(train: DataFrame, numeric_strategy: str = "median", group_col: s
                          for i, c in enumerate(cats)}, group_col)
     if group_col:
         gexprs = [F.avg(q(c)).alias(f"_gm{i}") for i, c in enumerate(nums)]
-        gexprs += [F.mode(q(c), True).alias(f"_gc{i}") for i, c in enumerate(cats)]
-        if gexprs:
-            g = train.where(F.col(group_col).isNotNull()).groupBy(group_col).agg(*gexprs)
+        if gexprs or cats:
+            rows = train.where(F.col(group_col).isNotNull())
+            g = rows.groupBy(group_col).agg(F.count(F.lit(1)).alias("_rows"), *gexprs)
+            if cats:
+                by = modes(rows, [group_col], cats).groupBy(group_col).agg(
+                    *[F.max(F.when(F.col("_c") == i, F.col("_m"))).alias(f"_gc{i}") for i in range(len(cats))])
+                g = g.join(by, group_col, "left")
             if numeric_strategy != "mean" and nums:
                 # exact group medians for all numeric columns in one ranking pass:
                 # stack (group, column, value) and rank by (group, column, value)

@@ -2,8 +2,7 @@
 
 A fit produces a small DataFrame (one row per group).  It is cached and
 counted once, so its size is *known* before we decide how to join it: when
-both its row count and its estimated bytes (rows x fixed width of the
-schema) are under the bounds it is broadcast, otherwise the join is left to
+both its row count and its materialised bytes are under the bounds it is broadcast, otherwise the join is left to
 a shuffle join (and AQE may still convert it at runtime from the real
 materialised size).
 """
@@ -27,16 +26,8 @@ class StatsTable:
     keys: tuple
 
     def est_bytes(self) -> int:
-        """Rows x an upper-ish fixed width per field (text counted as 64 bytes,
-        arrays as 256) plus per-row overhead."""
-        def width(dt) -> int:
-            name = dt.typeName()
-            if name in ("string", "binary"):
-                return 64
-            if name in ("array", "map", "struct"):
-                return 256
-            return 8
-        return self.rows * (sum(width(f.dataType) for f in self.df.schema.fields) + 16)
+        """Size of the cached table as Spark measured it when it was filled."""
+        return int(str(self.df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
     def joinable(self, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
         small = self.rows <= max_rows and self.est_bytes() <= MAX_BROADCAST_BYTES
@@ -64,8 +55,3 @@ def attach(df: DataFrame, stats: StatsTable, how: str = "left",
            max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Left-join fitted statistics onto rows by the table's keys."""
     return df.join(stats.joinable(max_rows), list(stats.keys), how)
-
-
-def scalar_row(df: DataFrame) -> DataFrame:
-    """A one-row aggregate; safe to broadcast by construction."""
-    return F.broadcast(df)

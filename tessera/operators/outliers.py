@@ -206,8 +206,7 @@ def isolation_forest_inliers(df: DataFrame, target: str, contamination: float =
     # Keep each row in a tree with probability ~ 4*psi/n: bounded tree input.
     p = F.least(F.lit(1.0), F.lit(4.0 * max_samples) / F.col("_gn"))
     trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                     lambda t: (F.pmod(F.xxhash64(F.lit(seed), t, F.col("_rid")), F.lit(1_000_000))
-                                < p * 1_000_000))
+                     lambda t: F.xxhash64(F.lit(seed), t, F.col("_rid")) / F.lit(2.0 ** 64) + 0.5 < p)
     sampled = (rows.select("_g", "_v", "_rid", "_gn", F.explode(trees).alias("_tree"))
                .withColumn("_h", F.xxhash64(F.lit(seed + 1), F.col("_tree"), F.col("_rid"))))
     leaf_schema = "_g string, _tree int, lo double, hi double, path double"

@@ -1,64 +1,73 @@
-"""Exact grouped quantiles by ranking, not by per-group value maps.
-
-Spark's exact ``percentile`` keeps a map of every distinct value per group
-and merges it in one reducer task per group: a group holding a third of the
-data lands in one task, and the boxed maps are slow.  Here rows are
-range-partitioned on (group, value) -- a hot group is split across tasks --
-and each row gets its global position; a group's start position is a plain
-``min`` aggregate.  Only the (at most two per quantile) rows at ranks
-``floor(p(n-1))`` and ``ceil(p(n-1))`` are kept, and the quantile is their
-linear interpolation: the same definition as numpy, Spark ``percentile`` and
-DuckDB ``quantile_cont``.
+"""Exact grouped quantiles by bracket, not by sort and not by value maps.
+
+Spark's exact ``percentile`` keeps a map of every distinct value per group and
+merges it in one reducer task per group.  Here one aggregation of approximate
+percentiles (a sketch of fixed size per group, combined map-side) brackets the
+rank of every quantile.  A second aggregation counts, per group and quantile,
+the rows below the bracket, and inside it the rows of each distinct value - so
+a value that repeats in millions of rows is one counted row, and a group with a
+third of the data is combined map-side before anything is shuffled.  Only the
+counted values inside a bracket (under one percent of a group's distinct
+values) are put in order.  Nothing is sorted as a whole or checkpointed.
+
+The result is the linear interpolation of ranks ``floor(p(n-1))`` and
+``ceil(p(n-1))``: the definition of numpy, Spark ``percentile`` and DuckDB
+``quantile_cont``.
 """
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .lookup import fit_table
-from .ranking import global_positions
+
+#: relative rank error of the sketch is 1 / ACCURACY; brackets leave room for four times that
+ACCURACY = 1000
 
 
 def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
                       names: list[str] | None = None) -> DataFrame:
-    """One row per group (NULL values ignored) with one column per quantile."""
+    """One row per group (NULL and NaN values ignored) with one column per quantile."""
     names = names or [f"q{int(round(p * 100))}" for p in probs]
     if not keys:
         return grouped_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, names).drop("_all")
-    d = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v"))
-    # The range partitioner samples its input and then shuffles it: keep the
-    # narrow (keys, value) projection once instead of evaluating the upstream
-    # lineage twice; it is released as soon as the ranking is checkpointed.
-    d = d.persist(StorageLevel.MEMORY_AND_DISK)
-    # A tie-break spreads one repeated value of a hot group over several
-    # range partitions; tied rows carry the same value, so their order does
-    # not change any quantile.
-    ranked = global_positions(d.withColumn("_tb", F.rand(17)), [*keys, "_v", "_tb"], "_pos").drop("_tb")
-    d.unpersist()
-    # one row per group; AQE broadcasts it when its materialised size is small
-    start = ranked.groupBy(*keys).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    r = ranked.join(start, keys).withColumn("_rank", F.col("_pos") - F.col("_start"))
-    wanted = None
-    parts = []
-    for i, p in enumerate(probs):
-        h = F.lit(p) * (F.col("_n") - 1)
-        lo, hi = F.floor(h), F.ceil(h)
-        cond = (F.col("_rank") == lo) | (F.col("_rank") == hi)
-        wanted = cond if wanted is None else wanted | cond
-        parts.append((i, p, lo, hi))
-    picked = r.where(wanted)
-    aggs = []
-    for i, p, lo, hi in parts:
-        aggs += [F.max(F.when(F.col("_rank") == lo, F.col("_v"))).alias(f"_lo{i}"),
-                 F.max(F.when(F.col("_rank") == hi, F.col("_v"))).alias(f"_hi{i}"),
-                 F.first(F.lit(p) * (F.col("_n") - 1) - F.floor(F.lit(p) * (F.col("_n") - 1))).alias(f"_fr{i}")]
-    g = picked.groupBy(*keys).agg(*aggs)
-    out = [F.col(k) for k in keys]
-    for i, name in enumerate(names):
-        out.append((F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(name))
-    return g.select(*out)
+    d = df.select(*keys, F.col(value).cast("double").alias("_bq_v")).where(F.col("_bq_v").isNotNull() & ~F.isnan("_bq_v"))
+    room = 4.0 / ACCURACY
+    low = [max(0.0, p - room) for p in probs]
+    high = [min(1.0, p + room) for p in probs]
+    inf = float("inf")
+    sketch = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bq_n"),
+                                  F.percentile_approx("_bq_v", low + high, ACCURACY).alias("_bq_b"))
+    # in a group of few rows a rank is worth more than the room: there the bracket is the group
+    few = F.col("_bq_n") <= ACCURACY
+    k = len(probs)
+    sketch = sketch.select(
+        *[F.col(c).alias(f"_bq_k{i}") for i, c in enumerate(keys)], "_bq_n",
+        F.array(*[F.struct(F.lit(i).alias("i"),
+                           (F.lit(-inf) if low[i] == 0 else F.when(few, -inf).otherwise(F.col("_bq_b")[i])).alias("lo"),
+                           (F.lit(inf) if high[i] == 1 else F.when(few, inf).otherwise(F.col("_bq_b")[k + i])).alias("hi"))
+                  for i in range(k)]).alias("_bq_w"))
+    same = [F.col(c).eqNullSafe(F.col(f"_bq_k{i}")) for i, c in enumerate(keys)]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    near = F.filter("_bq_w", lambda w: F.col("_bq_v") <= w["hi"])
+    seen = (d.join(sketch, on).select(*keys, "_bq_n", "_bq_v", F.explode(near).alias("_bq_w"))
+            .groupBy(*keys, "_bq_n", F.col("_bq_w.i").alias("_bq_i"), F.when(F.col("_bq_v") >= F.col("_bq_w.lo"), F.col("_bq_v")).alias("_bq_x"))
+            .agg(F.count(F.lit(1)).alias("_bq_c")))
+    order = Window.partitionBy(*keys, "_bq_i").orderBy(F.col("_bq_x").asc_nulls_first())
+    upto = F.sum("_bq_c").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_bq_i") + 1)
+    h = prob * (F.col("_bq_n") - 1)
+
+    def holds(rank):
+        return (F.col("_bq_upto") > rank) & (F.col("_bq_upto") - F.col("_bq_c") <= rank)
+
+    ranked = seen.withColumn("_bq_upto", upto).where(F.col("_bq_x").isNotNull())
+    both = (ranked.where(holds(F.floor(h)) | holds(F.ceil(h)))
+            .groupBy(*keys, "_bq_i").agg(F.min("_bq_x").alias("_bq_a"), F.max("_bq_x").alias("_bq_z"), F.first(h - F.floor(h)).alias("_bq_f")))
+    at = F.col("_bq_a") + F.col("_bq_f") * (F.col("_bq_z") - F.col("_bq_a"))
+    return both.groupBy(*keys).agg(*[F.max(F.when(F.col("_bq_i") == i, at)).alias(n) for i, n in enumerate(names)])
 
 
 def group_key(cols: list[str]):

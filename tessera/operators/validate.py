@@ -227,6 +227,30 @@ class Validator:
                 out.append((name, "referential_integrity", ERROR, c, n, ids, "value missing in parent"))
         return out
 
+    def rule_issues(self, df: DataFrame, name: str, rules: list) -> list[tuple]:
+        """Violations of all row rules in one aggregation; when that fails, rule by
+        rule, so that a rule that can't be evaluated becomes an issue of its own."""
+        if not rules:
+            return []
+        counted = [F.count_if(r.violation).alias(f"r{i}") for i, r in enumerate(rules)]
+        broken = {}
+        try:
+            row = df.agg(*counted).first().asDict()
+        except Exception:  # noqa: BLE001
+            row = {}
+            for i, c in enumerate(counted):
+                try:
+                    row[f"r{i}"] = df.agg(c).first()[0]
+                except Exception as e:  # noqa: BLE001
+                    broken[i] = str(e).split("\n")[0]
+        out = []
+        for i, r in enumerate(rules):
+            if i in broken:
+                out.append((name, r.check, ERROR, r.column, 1, None, f"validator failed: {broken[i]}"))
+            elif row[f"r{i}"]:
+                out.append((name, r.check, r.severity, r.column, row[f"r{i}"], self._samples(df, r.violation), r.message))
+        return out
+
     def validate(self, df: DataFrame, name: str, custom: list = ()) -> DataFrame:
         """All validators; a failing validator becomes an ERROR issue."""
         issues: list[tuple] = []
@@ -237,13 +261,10 @@ class Validator:
                 issues += step(df, name)
             except Exception as e:  # noqa: BLE001
                 issues.append((name, step.__name__, ERROR, None, 1, None, f"validator failed: {e}"))
-        rules = self.row_rules(df)
-        if rules:
-            row = df.agg(*[F.count_if(r.violation).alias(f"r{i}") for i, r in enumerate(rules)]).first()
-            for i, r in enumerate(rules):
-                if row[f"r{i}"]:
-                    issues.append((name, r.check, r.severity, r.column, row[f"r{i}"],
-                                   self._samples(df, r.violation), r.message))
+        try:
+            issues += self.rule_issues(df, name, self.row_rules(df))
+        except Exception as e:  # noqa: BLE001
+            issues.append((name, "row_rules", ERROR, None, 1, None, f"validator failed: {e}"))
         report = self.spark.createDataFrame(issues, ISSUE_SCHEMA)
         for fn in custom:
             try:
@@ -277,6 +298,3 @@ def summary(report: DataFrame) -> DataFrame:
     return report.groupBy("severity").agg(F.count(F.lit(1)).alias("n_issues"),
                                           F.sum("n_violations").alias("n_violations"))
 
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -58,9 +58,6 @@ def ensure_runtime_conf(spark: SparkSession) -> None:
             current = None
         if current is None:
             spark.conf.set(key, value)
-    # Timestamps in the test tables are zone-free; pin the zone so calendar
-    # fields (year, month) do not depend on the machine.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -76,6 +73,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if jdir.isDefined():
         return jdir.get()
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return configured

@@ -21,33 +21,13 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 
-SPREAD_MIN_BYTES = 4 << 20
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table (IO2: the whole directory/file, not a sample).
 
-    A scan is as parallel as its file splits.  When a non-trivial table comes
-    as fewer splits than the cluster has cores (e.g. one big row group), the
-    rows are spread with a round-robin repartition so the joins and maps that
-    follow run on every core.  On large inputs the scan already has more
-    splits than cores and nothing is added.
-    """
+    How far a scan is split is the session's business
+    (``spark.sql.files.maxPartitionBytes``, ``minPartitionNum``)."""
     ensure_runtime_conf(spark)
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover - plan API differences
-        return df
-    if size >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def register_views(spark: SparkSession, sf_dir: str,

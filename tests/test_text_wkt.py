@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as tx
 from tessera.functions import wkt
-from tessera.operators.spatial import contains_strict, count_points_by_category
+from tessera.operators.spatial import contains_rings, count_points_by_category
 
 
 def floor_row(spark, s):
@@ -71,7 +71,7 @@ def test_contains_strict_excludes_boundary(spark):
     sq = "POLYGON ((0 0, 2 0, 2 2, 0 2, 0 0))"
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 1.0), (0.0, 0.0), (3.0, 1.0), (1.999, 0.001)], "x double, y double")
     ring = wkt.ring_points(F.lit(sq))
-    got = [r[0] for r in df.select(contains_strict(ring, F.col("x"), F.col("y"))).collect()]
+    got = [r[0] for r in df.select(contains_rings(F.array(ring), F.col("x"), F.col("y"))).collect()]
     assert got == [True, False, False, False, True]
 
 
