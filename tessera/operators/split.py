@@ -138,12 +138,15 @@ def temporal_split(df: DataFrame, year_col: str, month_col: str,
 
 
 def split_overlap(df: DataFrame, key_col: str = "_period") -> DataFrame:
-    """Per split: rows and period range, plus whether train reaches into the
-    first test period (W4)."""
+    """Per split: rows and period range, and whether the split reaches into the
+    first test period (W4).  One row a split, so the last step is tiny."""
     per = df.groupBy("split").agg(F.count(F.lit(1)).alias("rows"),
                                   F.min(key_col).alias("min_period"),
                                   F.max(key_col).alias("max_period"))
-    return per
+    test = per.where(F.col("split") == "test").select(F.col("min_period").alias("_test_from"))
+    return (per.join(F.broadcast(test), F.lit(True), "left")
+            .withColumn("overlaps_test", (F.col("split") != "test") & F.coalesce(F.col("max_period") >= F.col("_test_from"), F.lit(False)))
+            .drop("_test_from"))
 
 
 def chronological_holdout(df: DataFrame, order_cols: list, fraction: float,
