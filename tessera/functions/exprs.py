@@ -16,22 +16,8 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def safe_div(a, b) -> Column:
-    """Division that yields NULL instead of raising under ANSI mode."""
-    return F.try_divide(col(a), col(b))
 
 
-def nan_to_null(c) -> Column:
-    """Normalise NaN to NULL so NULL is the only missing marker."""
-    c = col(c)
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
-
-
-def empty_to_null(c) -> Column:
-    """Exact empty strings become NULL (P4); whitespace is kept."""
-    c = col(c)
-    return F.when(c == F.lit(""), F.lit(None).cast("string")).otherwise(c)
-
 
 def period_key(year, month) -> Column:
     """``year*100 + month``; a missing year counts as 0, a missing month as 1."""

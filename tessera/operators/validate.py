@@ -97,9 +97,6 @@ class Validator:
             if c in df.columns:
                 rules.append(Rule("data_types", WARNING, c, q(c).isNotNull() & (q(c) != F.floor(q(c))),
                                   "non-integer value"))
-        for c in string_columns(df, (self.id_col,)):
-            if "mixed_types" in cfg.disabled:
-                break
         for c, (lo, hi) in cfg.ranges.items():
             if c in df.columns:
                 v = F.lit(False)
@@ -189,7 +186,9 @@ class Validator:
                     sample = dups.select(self.id_col).orderBy(self.id_col).limit(10)
                 else:
                     # ids of the 2nd+ occurrences of each duplicated key
-                    sample = df.join(dups, keys).where(F.col(self.id_col) > F.col("_first")) \
+                    same = dups.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_first")
+                    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+                    sample = df.join(same, on).where(F.col(self.id_col) > F.col("_first")) \
                         .select(self.id_col).orderBy(self.id_col).limit(10)
                 ids = ",".join(str(r[0]) for r in sample.collect())
                 out.append((name, "uniqueness", ERROR, "+".join(keys), int(n), ids, "duplicate key"))

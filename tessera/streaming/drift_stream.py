@@ -6,8 +6,9 @@ quantiles from :mod:`tessera.operators.quantiles`), and a 1-day tumbling
 window counts events per bin.  Each micro-batch (``foreachBatch``) turns the
 window/bin counts into a population stability index per day and writes the
 result table to the shared checkpoint folder.  State is the per-(day, bin)
-count only, so it grows with days x bins, not with events; the watermark
-lets Spark drop days older than ``watermark``.
+count only, so it grows with days x bins, not with events; the output mode is
+``complete``, so the counts of all days stay in it and every batch rewrites the
+whole result.
 """
 from __future__ import annotations
 
@@ -69,9 +70,9 @@ def run_daily_drift(spark: SparkSession, sf_dir: str, baseline_days: int = 7,
     schema = table(spark, sf_dir, "events").schema
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
               .parquet(sf_dir))
-    # event time must be a (zoned) timestamp for the watermark; the session
-    # zone is UTC, so day windows match the zone-free calendar days
-    binned = stream.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("bin", _bin(edges))
+    # event time must be a (zoned) timestamp for the watermark; day windows are
+    # UTC days, so the zone-free clock is read as UTC whatever the session's zone
+    binned = stream.withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())).withColumn("bin", _bin(edges))
     # one row per event for the day total (bin -1) and one for its bin
     exploded = binned.withColumn("bin", F.explode(F.array(F.lit(-1), F.col("bin")))).where(F.col("bin").isNotNull())
     counts = (exploded.withWatermark("ts", watermark)
@@ -80,7 +81,7 @@ def run_daily_drift(spark: SparkSession, sf_dir: str, baseline_days: int = 7,
     out_path = scratch_path(spark, f"stream-drift-{uuid.uuid4().hex}")
 
     def sink(batch: DataFrame, _epoch: int) -> None:
-        flat = batch.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "bin", "n")
+        flat = batch.select(F.date_format(F.to_utc_timestamp("w.start", F.current_timezone()), "yyyy-MM-dd").alias("day"), "bin", "n")
         _psi_per_day(flat, shares).write.mode("overwrite").parquet(out_path)
 
     q = (counts.writeStream.outputMode("complete").foreachBatch(sink)
