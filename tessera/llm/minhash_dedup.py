@@ -10,9 +10,10 @@
    its probability of reaching the threshold is below ``MISS``.  Survivors are
    verified exactly on their full shingle sets.
 4. Verified links make components.  Buckets whose nodes are in several
-   components are tried again with another leader, and at last node by node
-   across components, so that no link inside a bucket is left untested unless
-   it would join what is joined already.
+   components are tried again with other leaders.  At last nodes of different
+   components are tested and verified inside the tasks, tile by tile, and only
+   links are emitted: no link inside a bucket is left untested unless it would
+   join what is joined already.
 
 Two documents at the threshold 0.8 share no band with probability 3e-6.
 Nothing is capped; buckets, links and components stay distributed.
@@ -30,14 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_batches, mix64, one, shingles_of, slices, text_bytes, text_of, words_of
+from .common import arrow_schema, as_batch, cut, map_batches, mix64, one, shingles_of, slices, text_bytes, text_of, words_of
 from .components import components
 
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 BATCH = 32  # hashes compared before the posterior is looked at again
 MISS = 1e-6
-BITMAP_BITS = 25
+BITMAP_BITS = 22
+TILE = 512  # nodes of a bucket compared together at the end
 
 _A = mix64(np.arange(HASHES, dtype=np.uint64), 11) | np.uint64(1)
 _C = mix64(np.arange(HASHES, dtype=np.uint64), 12)
@@ -128,15 +130,20 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     return cut(map_batches(rows, f"id {id_type}, n long, hi long, lo long, sig binary", make), "minhash-rows")
 
 
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    sig = sig.astype(np.uint64)
+    key = np.zeros((len(sig), BANDS), np.uint64)
+    for b in range(BANDS):
+        for r in range(ROWS):
+            key[:, b] = mix64(key[:, b] ^ sig[:, b * ROWS + r], b + 31)
+    return key
+
+
 def banded(nodes: DataFrame) -> DataFrame:
     """(key, node): a row for each band of each node."""
     def make():
         def fn(batch):
-            sig = _matrix(batch.column(1), np.uint32).astype(np.uint64)
-            key = np.zeros((len(sig), BANDS), np.uint64)
-            for b in range(BANDS):
-                for r in range(ROWS):
-                    key[:, b] = mix64(key[:, b] ^ sig[:, b * ROWS + r], b + 31)
+            key = band_keys(_matrix(batch.column(1), np.uint32))
             return {"key": key.ravel().view(np.int64), "node": np.repeat(np.asarray(one(batch.column(0))), BANDS)}
         return fn
     return map_batches(nodes.select("node", "sig"), "key long, node long", make)
@@ -164,6 +171,89 @@ def prune(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return map_batches(joined.select("a", "b", "sa", "sb"), "a long, b long", make)
 
 
+def across(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between nodes of different components that share a bucket: the
+    sequential test, then the full sets, each pair in the first bucket the two
+    have in common and only while the task has not joined the two otherwise.
+
+    Nothing is emitted for other pairs.  A bucket of more than ``TILE``
+    nodes is cut into tiles; every pair of tiles is a group of its own, so no
+    task holds more than two tiles.
+    """
+    tiles = F.ceil(F.col("size") / TILE).cast("int")
+    mine = F.pmod(F.xxhash64("node", "key"), F.col("tiles")).cast("int")
+    rows = members.withColumn("tiles", tiles).withColumn("tile", mine)
+    rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    rows = rows.select("key", F.least("tile", "o").alias("i"), F.greatest("tile", "o").alias("j"), "node", "label", "tile")
+    rows = (rows.join(nodes.select("node", "sig", "n"), "node").join(sets, "node")
+            .select("key", "i", "j", "node", "label", "tile", "n", "sig", "shingles")
+            .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
+    threshold = percent / 100
+    steps = least_agreements(threshold)
+    schema = arrow_schema("a long, b long")
+
+    def links_of(key, i, j, node, label, tile, n, sig, full, up):
+        """Links of one group of rows; ``up`` is the task's own union of labels."""
+        if i == j:
+            x, y = np.triu_indices(len(node), 1)
+        else:
+            x, y = (v.ravel() for v in np.meshgrid(np.flatnonzero(tile == i), np.flatnonzero(tile == j), indexing="ij"))
+        ok = (label[x] != label[y]) & (np.minimum(n[x], n[y]) >= threshold * np.maximum(n[x], n[y]))
+        x, y = x[ok], y[ok]
+        agree, done = np.zeros(len(x), np.int64), 0
+        for upto, least in steps:
+            agree += (sig[x, done:upto] == sig[y, done:upto]).sum(1)
+            ok = agree >= least
+            x, y, agree, done = x[ok], y[ok], agree[ok], upto
+        if len(x):
+            keys = band_keys(sig)
+            first = (keys[x] == keys[y]).argmax(1)
+            ok = keys[x, first].view(np.int64) == key
+            x, y = x[ok], y[ok]
+
+        def root(v):
+            while up.get(v, v) != v:
+                v = up[v]
+            return v
+
+        for p, q in zip(x.tolist(), y.tolist(), strict=True):
+            u, v = root(int(label[p])), root(int(label[q]))
+            if u != v:
+                both = len(np.intersect1d(full[p], full[q], assume_unique=True))
+                if 100 * both >= percent * (len(full[p]) + len(full[q]) - both):
+                    up[u] = v
+                    yield int(node[p]), int(node[q])
+
+    def run(batches):
+        rest, up = None, {}
+        for batch in _with_end(batches):
+            if batch is not None:
+                full = np.empty(batch.num_rows, object)
+                full[:] = [v.values.to_numpy(zero_copy_only=False) for v in one(batch.column(8))]
+                cols = [np.asarray(one(batch.column(k))) for k in range(7)] + [_matrix(batch.column(7), np.uint32), full]
+                rest = cols if rest is None else [np.concatenate(c) for c in zip(rest, cols, strict=True)]
+            if rest is None or not len(rest[0]):
+                continue
+            key, i, j = rest[:3]
+            new = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            bounds = [0, *new.tolist()] + ([len(key)] if batch is None else [])
+            links = [p for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)
+                     for p in links_of(int(key[lo]), int(i[lo]), int(j[lo]), *[c[lo:hi] for c in rest[3:]], up)]
+            rest = [c[bounds[-1]:].copy() for c in rest]
+            if links:
+                yield as_batch({"a": [p for p, _ in links], "b": [q for _, q in links]}, schema)
+
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
+def _with_end(batches):
+    """The batches that have rows, then None."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch
+    yield None
+
+
 def sets_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """(node, shingles) of the nodes in ``wanted``, made again from their texts.
 
@@ -175,7 +265,7 @@ def sets_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
     words = (reps.select(F.shiftright(spot, 5).alias("w"), F.expr("shiftleft(1L, cast(xxhash64(rep) & 31 as int))").alias("b"))
              .groupBy("w").agg(F.bit_or("b").alias("b")))
     bitmap = np.zeros(1 << (BITMAP_BITS - 5), np.uint32)
-    for r in words.collect():  # at most 2^20 words whatever the number of nodes
+    for r in words.collect():  # at most 2^17 words whatever the number of nodes
         bitmap[r.w] = r.b
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("t"))
@@ -241,34 +331,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bands = cut(keys.join(keys.groupBy("key").count().where("count > 1").select("key"), "key"), "minhash-bands")
     spark = docs.sparkSession
     links = spark.createDataFrame([], "a long, b long")
-    tried = None
     labels = None
     for step in ("least", "other", "across"):
-        at = bands if labels is None else (
-            bands.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")))
         if labels is None:
-            leaders = at.groupBy("key").agg(F.min("node").alias("b"))
-            pairs = at.join(leaders, "key").where("node != b").select(F.col("node").alias("a"), "b")
+            leaders = bands.groupBy("key").agg(F.min("node").alias("b"))
+            pairs = bands.join(leaders, "key").where("node != b").select(F.col("node").alias("a"), "b")
         else:
+            at = bands.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
             # only buckets whose nodes are not all joined yet
-            split = at.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"),
-                                          F.max_by(F.struct("node", "label"), F.xxhash64("node", "key")).alias("lead")).where("x != y")
-            if step == "other":
+            split = (at.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("size"),
+                                           F.max_by(F.struct("node", "label"), F.xxhash64(F.lit(step), "node", "key")).alias("lead"))
+                     .where("x != y"))
+            if step != "across":
                 pairs = (at.join(split, "key").where(F.col("label") != F.col("lead.label"))
                          .select(F.greatest("node", "lead.node").alias("a"), F.least("node", "lead.node").alias("b")))
             else:
-                open_ = at.join(split.select("key"), "key", "left_semi")
-                open_ = cut(open_, "minhash-open")
-                left, right = open_.toDF("key", "a", "la"), open_.toDF("key", "b", "lb")
-                pairs = left.join(right, "key").where("la < lb").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = cut(pairs, "minhash-pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        left = cut(prune(pairs, nodes, percent / 100), "minhash-left")
-        wanted = left.select(F.col("a").alias("node")).union(left.select(F.col("b").alias("node"))).distinct()
-        found = verify(left, sets_of(wanted, nodes, docs, id_col, text_col, shingle), percent)
+                open_ = cut(at.join(split.select("key", "size"), "key"), "minhash-open")
+                sets = sets_of(open_.select("node").distinct(), nodes, docs, id_col, text_col, shingle)
+                found = across(open_, nodes, sets, percent)
+        if step != "across":
+            left = cut(prune(pairs.distinct(), nodes, percent / 100), "minhash-left")
+            wanted = left.select(F.col("a").alias("node")).union(left.select(F.col("b").alias("node"))).distinct()
+            found = verify(left, sets_of(wanted, nodes, docs, id_col, text_col, shingle), percent)
         links = cut(links.union(found), "minhash-links")
         labels = components(links)
     at = nodes.join(labels, "node", "left").select("hi", "lo", "rep", F.coalesce("label", "node").alias("label"))
