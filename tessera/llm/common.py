@@ -6,6 +6,7 @@ by driver and executors), so a lost executor never takes lineage with it.
 """
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -17,6 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: rows of a batch that Python gets while an intermediate table is written
+BATCH_ROWS = 2000
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -40,6 +45,19 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Arrow batches of few rows while a table is written: rows here are whole
+    texts and sets, and a batch is held twice, in the JVM and in Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), rows)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here.
 
@@ -47,7 +65,8 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
@@ -64,16 +83,20 @@ def map_batches(df: DataFrame, ddl: str, make: Callable[[], Callable]) -> DataFr
     """Arrow batches through a function that ``make`` builds once a task.
 
     The function gets a record batch and returns a dict of columns (lists or
-    Arrow arrays) by the names of ``ddl``, or ``None`` for no rows.
+    Arrow arrays) by the names of ``ddl``, or ``None`` for no rows.  If it has
+    an attribute ``finish``, that is called when the task ends.
     """
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for batch in batches:
-            out = fn(batch) if batch.num_rows else None
-            if out is not None:
-                yield as_batch(out, schema)
+        try:
+            for batch in batches:
+                out = fn(batch) if batch.num_rows else None
+                if out is not None:
+                    yield as_batch(out, schema)
+        finally:
+            getattr(fn, "finish", int)()
 
     return df.mapInArrow(run, ddl)
 
@@ -186,7 +209,7 @@ def shingles_of(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.nd
 
 
 #: bytes of text that numpy code looks at together; whole texts, so at least one
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1_000_000
 
 
 def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:

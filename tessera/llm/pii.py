@@ -15,7 +15,7 @@ is removed.  Every occurrence of such a term in any document counts.
 
 All counts are grouped sums with partial aggregation.  The table of disclosing
 terms is never broadcast: tasks get a bitmap of their checksums, of a fixed
-4 MB, and what passes it is joined with the table itself.
+512 KB, and what passes it is joined with the table itself.
 
 Defined cases: NULL or empty text has no spans; repeated rows give one row
 each; NULL ids are kept; other columns are ignored; an empty table gives an
@@ -41,7 +41,7 @@ MIN_CONTEXTS = 3
 MIN_BITS = 6.0
 GENERALISE_AT = 0.5
 REMOVE_AT = 0.8
-BITMAP_BITS = 25
+BITMAP_BITS = 22
 #: distinct terms a task counts before it hands partial counts on
 FLUSH_TERMS = 400_000
 
@@ -210,7 +210,7 @@ def bitmap_of(terms: DataFrame) -> np.ndarray:
     words = (terms.select(F.shiftright(at, 5).alias("w"), F.expr("shiftleft(1L, cast(crc32(cast(term as binary)) & 31 as int))").alias("b"))
              .groupBy("w").agg(F.bit_or("b").alias("b")))
     out = np.zeros(1 << (BITMAP_BITS - 5), np.uint32)
-    for r in words.collect():  # at most 2^20 words whatever the number of terms
+    for r in words.collect():  # at most 2^17 words whatever the number of terms
         out[r.w] = r.b
     return out
 

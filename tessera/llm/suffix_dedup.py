@@ -41,7 +41,7 @@ LENGTH = 400
 SEED = 128
 GROUP = 16
 SALTS = 16
-BITMAP_BITS = 25
+BITMAP_BITS = 22
 _TABLES = tuple(mix64(np.arange(256, dtype=np.uint64), s) for s in (41, 42))
 
 
@@ -206,7 +206,7 @@ def texts_of(wanted: DataFrame, rows: DataFrame) -> DataFrame:
     words = (wanted.select(F.shiftright(spot, 5).alias("w"), F.expr("shiftleft(1L, cast(xxhash64(sha) & 31 as int))").alias("b"))
              .groupBy("w").agg(F.bit_or("b").alias("b")))
     bitmap = np.zeros(1 << (BITMAP_BITS - 5), np.uint32)
-    for r in words.collect():  # at most 2^20 words whatever the number of texts
+    for r in words.collect():  # at most 2^17 words whatever the number of texts
         bitmap[r.w] = r.b
     shared = rows.sparkSession.sparkContext.broadcast(bitmap)
 
