@@ -48,7 +48,7 @@ def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     others = [c for c in docs.columns if c != "text"]
     coded = byte_bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
-                                   keep=others, with_decoded=True)
+                                   keep=others, with_decoded=True, remember=False)
     return coded.select(*[F.col("decoded").alias("text") if c == "text" else F.col(c) for c in docs.columns],
                         "n_tokens", "ids_sha256", "decoded_sha256")
 

@@ -62,48 +62,48 @@ class ByteBPE:
         if whole is not None:
             return [whole]
         get, low, mid, first, n = ranks.get, self.low, self.mid, self.first, len(piece)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))  # after[i]: end of the span at i
-        after.append(n)
+        push, pop = heapq.heappush, heapq.heappop
+        after, before = list(range(1, n + 2)), list(range(-1, n))  # after[i]: end of the span at i
         dead = bytearray(n + 1)
         bucket: dict[int, list[int]] = {}
-        new = [(r, i) for i in range(n - 1) if (r := first[piece[i] << 8 | piece[i + 1]]) >= 0]
         top = 0
-        while True:
-            for r, i in new:
+        # entering a pair is written out in its three places: a call would cost as much as the step
+        for i, (a, b) in enumerate(zip(piece, piece[1:])):
+            r = first[a << 8 | b]
+            if r >= 0:
                 if r in bucket:
-                    heapq.heappush(bucket[r], i)
-                    continue
-                bucket[r] = [i]
-                w = r >> 6
-                x = low[w]
-                low[w] = x | 1 << (r & 63)
-                if not x:
-                    m = w >> 6
-                    x = mid[m]
-                    mid[m] = x | 1 << (w & 63)
+                    push(bucket[r], i)
+                else:
+                    bucket[r] = [i]
+                    w = r >> 6
+                    x = low[w]
+                    low[w] = x | 1 << (r & 63)
                     if not x:
-                        top |= 1 << m
-            if not top:
-                break
+                        m = w >> 6
+                        x = mid[m]
+                        mid[m] = x | 1 << (w & 63)
+                        if not x:
+                            top |= 1 << m
+        while top:
             m = (top & -top).bit_length() - 1
             x = mid[m]
             w = m << 6 | (x & -x).bit_length() - 1
             x = low[w]
             rank = w << 6 | (x & -x).bit_length() - 1
             waiting = bucket[rank]
-            if len(waiting) > 1:
-                i = heapq.heappop(waiting)
-            else:
-                i = waiting[0]
+            i = pop(waiting)
+            if not waiting:
                 del bucket[rank]
                 low[w] = x = x & (x - 1)
                 if not x:
-                    mid[m] = x = mid[m] & (mid[m] - 1)
+                    x = mid[m]
+                    mid[m] = x = x & (x - 1)
                     if not x:
                         top &= top - 1
-            new = []
+            if dead[i]:
+                continue
             j = after[i]
-            if dead[i] or j >= n:
+            if j >= n:
                 continue
             k = after[j]
             if get(piece[i:k]) != rank:
@@ -114,12 +114,36 @@ class ByteBPE:
                 before[k] = i
                 r = get(piece[i:after[k]])
                 if r is not None:
-                    new.append((r, i))
+                    if r in bucket:
+                        push(bucket[r], i)
+                    else:
+                        bucket[r] = [i]
+                        w = r >> 6
+                        x = low[w]
+                        low[w] = x | 1 << (r & 63)
+                        if not x:
+                            m = w >> 6
+                            x = mid[m]
+                            mid[m] = x | 1 << (w & 63)
+                            if not x:
+                                top |= 1 << m
             h = before[i]
             if h >= 0:
                 r = get(piece[h:k])
                 if r is not None:
-                    new.append((r, h))
+                    if r in bucket:
+                        push(bucket[r], h)
+                    else:
+                        bucket[r] = [h]
+                        w = r >> 6
+                        x = low[w]
+                        low[w] = x | 1 << (r & 63)
+                        if not x:
+                            m = w >> 6
+                            x = mid[m]
+                            mid[m] = x | 1 << (w & 63)
+                            if not x:
+                                top |= 1 << m
         out, i = [], 0
         while i < n:
             k = after[i]
@@ -200,12 +224,14 @@ def coder_for(rank_file: bytes, pattern: str) -> ByteBPE:
 
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
                   text_col: str = "text", keep: list[str] | None = None,
-                  with_ids: bool = False, with_decoded: bool = False) -> DataFrame:
+                  with_ids: bool = False, with_decoded: bool = False, remember: bool = True) -> DataFrame:
     """Encode every whole text and decode its ids again.
 
     Returns ``keep`` columns (default: the id), ``n_tokens``, ``ids_sha256``
     (of the comma-joined ids), ``decoded_sha256``; with ``with_ids`` the ids as
-    ``token_ids array<int>``, with ``with_decoded`` the decoded text.
+    ``token_ids array<int>``, with ``with_decoded`` the decoded text.  Pieces are
+    remembered for the worker's next task unless ``remember`` is false, which
+    leaves the memory to other operators between tasks.
     """
     with open(ranks_path, "rb") as f:
         ranks = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -236,6 +262,8 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
                     texts.append(raw.decode("utf-8"))
             return out | {"n_tokens": count, "ids_sha256": coded, "decoded_sha256": plain,
                           "token_ids": lists, "decoded": texts}
+        if not remember:
+            fn.finish = bpe.pieces.clear
         return fn
 
     out = map_batches(rows, ddl, make)
