@@ -37,6 +37,8 @@ MIN_PAGES = 8
 MAX_DEPTH = 60
 #: partial wrappers of a host are folded in so many groups first
 BUCKETS = 64
+#: and a host's pages meet its wrapper in so many parts
+SALTS = 32
 
 # fixed values: HTML element kinds
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -419,13 +421,16 @@ def induce(pages: DataFrame) -> DataFrame:
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars) for every page.
 
-    The join by host is a shuffle join; a host with a third of all pages is
-    split by the skew join of adaptive execution.
+    The join by host is a shuffle join; pages of a host are salted, and each
+    salt gets a copy of the wrapper, so a host with a third of all pages is
+    spread over tasks.
     """
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
                         text_of(html_col).alias("html"), host_of(url_col).alias("host"))
     id_type = rows.schema["id"].dataType.simpleString()
-    joined = rows.join(induce(rows.select("host", "html")), "host", "left").select("id", "url", "html", "wrapper")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)))
+    wrappers = induce(rows.select("host", "html")).withColumn("salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
+    joined = salted.join(wrappers, ["host", "salt"], "left").select("id", "url", "html", "wrapper")
 
     def make():
         known: dict[str, list] = {}
