@@ -15,7 +15,8 @@ The benchmark's items are the query set; they are taken in blocks of
 3. A second pass folds passages of ``PASSAGE`` words, half overlapping, into
    that space, and finds those whose cosine geometry with an item says that
    they hold a share of it (projection on the item >= ``CANDIDATE``).
-   Candidates must then hold ``OVERLAP`` of the item's weight exactly.
+   No exact weight is asked for: every candidate goes on, but those whose
+   surroundings hold fewer of the item's words than any decision needs.
 4. The longest common subsequence of words between the item and the passage
    with its surroundings decides: ``SURE`` of the item and the document is
    contaminated; from ``PARAPHRASE`` on it is if the item's answer (its last
@@ -23,7 +24,9 @@ The benchmark's items are the query set; they are taken in blocks of
 
 All texts and all chunks take part, whole.  Defined cases: NULL or empty texts
 and items match nothing; a text shorter than a passage is one passage; an item
-longer than a passage is looked for by its passages; repeated rows give their
+longer than a passage is looked for by its passages, and ``SURE`` of one of them
+is enough where the whole item is not there (the share is then that passage's);
+repeated rows give their
 own rows; NULL ids are kept; other columns are ignored; an empty table on
 either side gives an empty result.
 """
@@ -41,7 +44,7 @@ from .common import add_parts, arrow_schema, as_batch, map_batches, mix64, one,
 CHUNK = 64
 PASSAGE, STRIDE = 64, 32
 RANK = 128
-CANDIDATE, OVERLAP = 0.35, 0.5
+CANDIDATE = 0.18
 PARAPHRASE, SURE = 0.6, 0.75
 ANSWER_WORDS = 8
 SPREAD = 1.5
@@ -202,7 +205,7 @@ class Space:
             t = np.unique(self.terms.find(w))
             if self.active[t].sum() < FEW_TERMS:
                 self.active[t] = True
-        queries, self.owner, self.members = [], [], []
+        queries, self.owner, self.parts = [], [], []
         for i, w in enumerate(items):
             for s in range(0, max(1, len(w) - PASSAGE + STRIDE), STRIDE):
                 t = np.unique(self.terms.find(w[s:s + PASSAGE]))
@@ -212,17 +215,14 @@ class Space:
                 if len(t) and norm > 0:
                     queries.append(v / norm)
                     self.owner.append(i)
-                    self.members.append(t)
+                    part = w[s:s + PASSAGE].tolist()
+                    #: of a longer item, the passage the query is made of
+                    self.parts.append((masks_of(part), len(part)) if len(part) < len(w) else None)
         self.queries = np.array(queries, np.float32).reshape(-1, self.base.shape[1]).T.copy()
-        #: weight of each term in each query; the block bounds its size
-        self.weights = np.zeros((len(self.members), len(idf)), np.float32)
-        for i, t in enumerate(self.members):
-            self.weights[i, t] = self.square[t]
-        self.norm = self.weights.sum(1)
 
     def candidates(self, words: np.ndarray, first: np.ndarray):
-        """(text, item, projection, first word, end word) of passages that pass
-        the latent search and the exact overlap."""
+        """(text, query, projection, first word, end word) of passages that pass
+        the latent search."""
         count = np.diff(first)
         halves = -(-count // STRIDE)
         base = np.cumsum(halves) - halves
@@ -244,41 +244,45 @@ class Space:
         together = np.zeros(total, bool)  # a half and the next one of the same text
         together[:-1] = text[1:] == text[:-1]
         single = together | (np.arange(total) == base[text])  # the last half alone is part of the passage before
-        # distinct terms of passages: those of the half, and those of the next one that it lacks
-        more = np.flatnonzero(together[half - 1] & (half > 0))
-        both = np.unique(np.concatenate([pair, (half[more] - 1) * len(self.square) + term[more]]))
-        member = both % len(self.square)
-        at = np.searchsorted(both // len(self.square), np.arange(total + 1))
         for low in range(0, total, 4096):
             high = min(low + 4096, total)
             v = vectors[low:high] + vectors[low + 1:high + 1] * together[low:high, None]
             near = v @ self.queries
             p, q = np.nonzero((near >= CANDIDATE) & single[low:high, None])
-            if not len(p):
-                continue
-            size = at[low + p + 1] - at[low + p]
-            p, q, size = p[size > 0], q[size > 0], size[size > 0]
-            begin = np.cumsum(size) - size
-            flat = member[np.arange(int(size.sum())) - np.repeat(begin - at[low + p], size)]
-            held = np.add.reduceat(self.weights[np.repeat(q, size), flat], begin) if len(p) else np.zeros(0)
-            for k in np.flatnonzero(held >= OVERLAP * self.norm[q]).tolist():
-                h = low + int(p[k])
+            for h, k, share in zip((low + p).tolist(), q.tolist(), near[p, q].tolist(), strict=True):
                 i = int(text[h])
                 start = int(first[i]) + (h - int(base[i])) * STRIDE
-                yield i, self.owner[q[k]], float(near[p[k], q[k]]), start, min(start + PASSAGE, int(first[i + 1]))
+                yield i, k, share, start, min(start + PASSAGE, int(first[i + 1]))
 
     def matches(self, texts: pa.Array):
         """(text, item, projection, lcs share, first word, end word), the best a pair."""
         raw, at = text_bytes(texts)
         words, _, _, first = words_of(raw, at)
         best: dict[tuple[int, int], tuple] = {}
+        parts: dict[tuple[int, int], tuple] = {}  # passages of long items
         tried: set[tuple[int, int, int]] = set()
-        for i, item, near, start, end in self.candidates(words, first):
-            if (i, item, start) in tried:
+        around: tuple = (None, frozenset())  # a passage's surroundings and their words
+        for i, query, near, start, end in self.candidates(words, first):
+            item, part = self.owner[query], self.parts[query]
+            at_item = (i, query if part else -1 - item, start)
+            if at_item in tried:
                 continue
-            tried.add((i, item, start))
+            tried.add(at_item)
             size = len(self.items[item])
             low, high = max(int(first[i]), start - size), min(int(first[i + 1]), end + size)
+            if around[0] != (low, high):
+                around = (low, high), frozenset(words[low:high].tolist())
+            if part and best.get((i, item), (0, 0))[1] < SURE:
+                masks, length = part
+                if sum(masks[w].bit_count() for w in masks.keys() & around[1]) >= SURE * length:
+                    have = max(lcs(masks, words[s:min(s + int(SPREAD * length) + 1, high)].tolist(), length)
+                               for s in range(low, max(low + 1, high - length), length // 4)) / length
+                    if have >= SURE and have > parts.get((i, item), (0, 0))[1]:
+                        parts[i, item] = near, have, start - int(first[i]), end - int(first[i])
+            # the subsequence can't be longer than the item's words that are there at all
+            masks = self.masks[item]
+            if sum(masks[w].bit_count() for w in masks.keys() & around[1]) < PARAPHRASE * size:
+                continue
             # matched words must lie close together: windows of SPREAD times the item
             wide, step = int(SPREAD * size) + 1, max(1, size // 4)
             share, near_to = 0.0, []
@@ -294,7 +298,7 @@ class Space:
                 if lcs(self.answer_masks[item], near_to, rest) < PARAPHRASE * rest:
                     continue
             best[i, item] = (near, share, start - int(first[i]), end - int(first[i]))
-        for (i, item), found in best.items():
+        for (i, item), found in (parts | best).items():
             yield i, item, *found
 
 

@@ -104,3 +104,28 @@ def test_query_finds_every_copy(spark, sf):
     assert copies and copies <= got
     for d, i in got - copies:
         assert plain_lcs(docs[d], items[i]) >= 0.6 * len(items[i])
+
+
+def test_rare_words_replaced_and_passages_of_long_items(spark):
+    """20-word items of 14 common words and 6 rare ones, 3 or 4 of these replaced
+    (0.8 or more of the words stay in order); one passage of a long item."""
+    rng = random.Random(12)
+    common = [f"c{i}" for i in range(60)]
+    def text(n):
+        return [rng.choice(common) if rng.random() < 0.7 else f"r{rng.randrange(3000)}" for _ in range(n)]
+    items, docs, truth = [], [(d, " ".join(text(150))) for d in range(600)], set()
+    for i in range(20):
+        rare = rng.sample(range(20), 6)
+        w = [f"q{i}x{k}" if k in rare else rng.choice(common) for k in range(20)]
+        items.append((i, " ".join(w)))
+        near = [f"z{i}x{k}" if k in rare[:3 + i % 2] else x for k, x in enumerate(w)]
+        docs += [(1000 + i, " ".join(text(60) + near + text(50))), (2000 + i, " ".join(text(60) + w + text(50)))]
+        truth |= {(1000 + i, i), (2000 + i, i)}
+    long = [f"l{k}" for k in range(300)]
+    items.append((50, " ".join(long)))
+    docs.append((3000, " ".join(text(40) + long[96:176] + text(40))))
+    rows = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                          spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r.doc_id, r.item_id) for r in rows}
+    assert (3000, 50) in got and {p for p in truth if p[0] >= 2000} <= got
+    assert len(truth & got) >= 0.9 * len(truth)
