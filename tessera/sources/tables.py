@@ -155,3 +155,27 @@ def extract_catalog(spark: SparkSession, frames: dict[str, DataFrame],
             rows.append((name, alias, kind, f.name, normalize_type(f.dataType), True))
     schema = "table string, alias string, kind string, column string, type string, retrieve boolean"
     return spark.createDataFrame(rows, schema)
+
+
+def catalog_figures(frames: dict[str, DataFrame]) -> DataFrame:
+    """``(table, column, rows, nulls, distinct)`` of every column, by Spark
+    aggregates over whole tables; values are told apart by their text (binary
+    ones in hex), NULL is no value."""
+    out = None
+    for name, df in frames.items():
+        if not df.columns:
+            continue
+        # columns are told by number: names may differ in case only
+        plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+        texts = [(F.hex(f.name) if isinstance(f.dataType, T.BinaryType) else F.to_json(F.struct(f.name))
+                  if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) else F.col(f.name).cast("string"))
+                 for f in plain.schema.fields]
+        pairs = [F.struct(F.lit(c).alias("column"), F.when(F.col(f.name).isNotNull(), t).alias("v"))
+                 for c, f, t in zip(df.columns, plain.schema.fields, texts, strict=True)]
+        counted = (plain.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+                   .groupBy("column", "v").agg(F.count("*").alias("n")))
+        figures = counted.groupBy("column").agg(
+            F.sum("n").alias("rows"), F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
+            F.count("v").alias("distinct")).select(F.lit(name).alias("table"), "*")
+        out = figures if out is None else out.union(figures)
+    return out

@@ -32,6 +32,13 @@ def test_catalog_and_alias(spark):
     assert rows[("atti", "Prezzo")] == ("A", "view", "float")
 
 
+def test_catalog_figures(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, None, None), (2, "", None)], "Id long, Nome string, V array<int>")
+    got = {(r.table, r.column): (r.rows, r.nulls, r.distinct) for r in io.catalog_figures({"t": df, "u": df.limit(1)}).collect()}
+    assert got[("t", "Id")] == (3, 0, 2) and got[("t", "Nome")] == (3, 1, 2) and got[("t", "V")] == (3, 3, 0)
+    assert got[("u", "Id")] == (1, 0, 1)
+
+
 def test_quick_validate_template(spark):
     df = spark.createDataFrame([(1, "x"), (1, "y"), (None, "z")], "id int, v string")
     cfg = template_config(df, "id")
