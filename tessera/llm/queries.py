@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: whole tables, production
+"""The registered queries of the operators: whole tables, production
 parameters.  ``QUERIES`` maps a name to its builder, ``ORACLES`` to DuckDB SQL
 where SQL can express the operator."""
 from __future__ import annotations
@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, compact_windows, decontaminate, fingerprints, html_text, minhash_dedup, pii, quality, suffix_dedup, token_count
+from . import byte_bpe, compact_windows, decontaminate, fingerprints, html_text, merkle, minhash_dedup, pii, quality, suffix_dedup, token_count
 from .common import read_table
 
 TOKEN_LIMIT = 2048
@@ -84,3 +84,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate passages of 50 words or more, and whole copies."""
     return compact_windows.passages(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and what tampered texts fold to."""
+    return merkle.report(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_merkle_manifest"] = merkle.ORACLE
