@@ -58,15 +58,16 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]
         spark.conf.set(key, before)
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here.
 
-    The table is removed when the application ends.
+    The table is removed when the application ends.  ``codec``: a parquet
+    compression other than the session's.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
     with small_batches(spark):
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)

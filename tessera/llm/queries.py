@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, compact_windows, decontaminate, fingerprints, html_text, merkle, minhash_dedup, pii, quality, suffix_dedup, token_count, whitening
+from . import byte_bpe, compact_windows, decontaminate, fingerprints, html_text, merkle, minhash_dedup, pii, ppm, quality, suffix_dedup, token_count, whitening
 from .common import read_table
 
 TOKEN_LIMIT = 2048
@@ -86,6 +86,12 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact_windows.passages(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document under a byte-context model (and a word model) of the training rows."""
+    return ppm.score(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whitened coordinates of every embedding, distinct integer vectors fitted once."""
