@@ -50,6 +50,8 @@ MARK = 0xFF
 ALPHABET = 256
 #: bytes of text a block holds at most (but a piece at least), and at least when data are few
 BLOCK_BYTES, LEAST_BLOCK = 32_000_000, 1_000_000
+#: pieces of a block are merged this many at a time (two lists of grams each); rows of a batch of asks
+MERGE, ROWS = 12, 100_000
 GRAM, WORD = 0, 1
 _U = np.uint64
 
@@ -130,6 +132,12 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[at], np.add.reduceat(counts[order], at)
 
 
+def summed_words(a: np.ndarray, b: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words with their counts added."""
+    at, begin, _, _ = word_order(a, b)
+    return a[at[begin]], b[at[begin]], np.add.reduceat(counts[at], begin)
+
+
 # ----------------------------------------------------------------- gathering
 def packed(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
@@ -169,7 +177,7 @@ def blocked(docs: DataFrame, key: str, text: str, held: Column) -> DataFrame:
 
 
 class _Asks:
-    """What one block asks for, gathered slice by slice."""
+    """What one block asks for, gathered piece by piece."""
 
     def __init__(self, block: int):
         self.block, self.grams, self.words = block, [], []
@@ -182,25 +190,26 @@ class _Asks:
         self.grams.append((unlearned, np.zeros(len(unlearned), np.int64)))
         a, b, of = word_keys(texts)
         if len(a):
-            at, begin, _, _ = word_order(a, b)
-            first = at[begin]
-            self.words.append((a[first], b[first], np.add.reduceat(train[of][at].astype(np.int64), begin)))
-        if len(self.grams) > 64:
-            self.grams = [summed(*map(np.concatenate, zip(*self.grams, strict=True)))]
-
-    def rows(self) -> dict:
-        g, gn = summed(*map(np.concatenate, zip(*self.grams, strict=True)))
-        a = b = n = np.zeros(0, np.int64)
+            self.words.append(summed_words(a, b, train[of].astype(np.int64)))
+        if len(self.grams) >= MERGE:
+            self.merge()
+
+    def merge(self) -> None:
+        self.grams = [summed(*map(np.concatenate, zip(*self.grams, strict=True)))]
         if self.words:
-            a, b, n = map(np.concatenate, zip(*self.words, strict=True))
-            at, begin, _, _ = word_order(a, b)
-            a, b, n = a[at[begin]], b[at[begin]], np.add.reduceat(n[at], begin)
-            near = np.lexsort((b, a))  # neighbours share bytes: files and shuffles shrink
-            a, b, n = a[near].view(np.int64), b[near].view(np.int64), n[near]
-        size = len(g) + len(a)
-        return {"block": pa.array(np.full(size, self.block)), "kind": pa.array(np.repeat([GRAM, WORD], [len(g), len(a)]), pa.int8()),
-                "a": pa.array(np.concatenate((g, a))), "b": pa.array(np.concatenate((np.zeros(len(g), np.int64), b))),
-                "n": pa.array(np.concatenate((gn, n)))}
+            self.words = [summed_words(*map(np.concatenate, zip(*self.words, strict=True)))]
+
+    def rows(self) -> Iterator[dict]:
+        self.merge()
+        g, gn = self.grams[0]
+        a, b, n = self.words[0] if self.words else (g[:0].view(_U), g[:0].view(_U), gn[:0])
+        near = np.lexsort((b, a))  # neighbours share bytes: files and shuffles shrink
+        a, b, n = a[near].view(np.int64), b[near].view(np.int64), n[near]
+        for kind, keys in ((GRAM, (g, np.zeros_like(g), gn)), (WORD, (a, b, n))):
+            for low in range(0, len(keys[0]), ROWS):
+                first, second, counts = (k[low:low + ROWS] for k in keys)
+                yield {"block": pa.array(np.full(len(first), self.block)), "kind": pa.array(np.full(len(first), kind, np.int8)),
+                       "a": pa.array(first), "b": pa.array(second), "n": pa.array(counts)}
 
 
 ASKS = "block long, kind byte, a long, b long, n long"
@@ -216,12 +225,14 @@ def asks(blocks: DataFrame, order: int) -> DataFrame:
             for number, piece in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if block is None or block.block != number:
                     if block is not None:
-                        yield as_batch(block.rows(), schema)
+                        yield from (as_batch(x, schema) for x in block.rows())
                     block = _Asks(number)
                 texts = unpacked(piece.as_buffer())
                 block.add(texts.column(2), ~texts.column(1).to_numpy(zero_copy_only=False).astype(bool), order)
         if block is not None:
-            yield as_batch(block.rows(), schema)
+            yield from (as_batch(x, schema) for x in block.rows())
+        block = None
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return cut(blocks.mapInArrow(run, ASKS), "ppm-asks", "zstd")
 
@@ -352,10 +363,12 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int =
             return schema.empty_table()
         is_word = found["kind"].to_numpy() == WORD
         a, b, v = found["a"].to_numpy(), found["b"].to_numpy(), found["v"].to_numpy()
-        by_gram = np.argsort(a[~is_word])
-        gram, logp = a[~is_word][by_gram], v[~is_word][by_gram]
+        gram, logp = a[~is_word], v[~is_word]
+        by_gram = np.argsort(gram)
+        gram, logp = gram[by_gram], logp[by_gram]
         at, _, hashes, seed = word_order(a[is_word].view(_U), b[is_word].view(_U))
         counts = v[is_word][at]
+        del found, is_word, a, b, v, by_gram, at
         out = []
         for piece in rows["piece"].combine_chunks():
             batch = unpacked(piece.as_buffer())
@@ -369,6 +382,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int =
                 pa.array(np.bincount(of, c > 0, minlength=m).astype(np.int64) + (ends > 0)), pa.array(np.full(m, tokens)),
                 pa.array(np.bincount(of, np.log10(c + 1) - share, minlength=m) + np.log10(ends + 1) - share),
                 pa.array(np.add.reduceat(logp[np.searchsorted(gram, g)], begin))], schema=schema))
+        pa.default_memory_pool().release_unused()
         return pa.Table.from_batches(out, schema)
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, ddl)
