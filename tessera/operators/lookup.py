@@ -16,6 +16,26 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 << 20
 
+_CACHED: list[DataFrame] = []
+
+
+def keep_cached(df: DataFrame) -> DataFrame:
+    """Cache a statistics frame until :func:`release_caches`."""
+    df = df.cache()
+    _CACHED.append(df)
+    return df
+
+
+def release_caches() -> int:
+    """Unpersist every statistics frame cached so far; how many there were.
+
+    Call it when the results built on them are written: frames that are still
+    used are computed again, nothing breaks."""
+    n = len(_CACHED)
+    while _CACHED:
+        _CACHED.pop().unpersist()
+    return n
+
 
 @dataclass
 class StatsTable:
@@ -47,7 +67,7 @@ def fit_table(df: DataFrame, keys, drop_null_keys: bool = True) -> StatsTable:
             c = F.col(k).isNotNull()
             cond = c if cond is None else cond & c
         df = df.where(cond)
-    df = df.cache()
+    df = keep_cached(df)
     return StatsTable(df, df.count(), keys)
 
 

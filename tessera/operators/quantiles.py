@@ -1,14 +1,15 @@
-"""Exact grouped quantiles by bracket, not by sort and not by value maps.
+"""Exact grouped quantiles by narrowing, not by sort and not by value maps.
 
 Spark's exact ``percentile`` keeps a map of every distinct value per group and
-merges it in one reducer task per group.  Here one aggregation of approximate
-percentiles (a sketch of fixed size per group, combined map-side) brackets the
-rank of every quantile.  A second aggregation counts, per group and quantile,
-the rows below the bracket, and inside it the rows of each distinct value - so
-a value that repeats in millions of rows is one counted row, and a group with a
-third of the data is combined map-side before anything is shuffled.  Only the
-counted values inside a bracket (under one percent of a group's distinct
-values) are put in order.  Nothing is sorted as a whole or checkpointed.
+merges it in one reducer task per group.  Here a group starts with its count,
+least and greatest value.  While the bracket that holds a wanted rank has more
+than ``EXACT`` rows, its rows are counted in ``BINS`` equal bins (combined
+map-side, so a group with a third of the data costs its bins in the shuffle);
+the bin that holds the rank is the next bracket, from its least to its greatest
+value.  Bins nest, so a row is in one bracket of its group at most and is counted
+once for all quantiles.  What is left of a bracket, ``EXACT`` rows at most, is
+put in order inside one row.  Nothing is sorted as a whole, and no window or
+task sees more than the bins of a bracket or ``EXACT`` values.
 
 The result is the linear interpolation of ranks ``floor(p(n-1))`` and
 ``ceil(p(n-1))``: the definition of numpy, Spark ``percentile`` and DuckDB
@@ -16,13 +17,52 @@ The result is the linear interpolation of ranks ``floor(p(n-1))`` and
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .lookup import fit_table
+from .lookup import fit_table, keep_cached
 
-#: relative rank error of the sketch is 1 / ACCURACY; brackets leave room for four times that
-ACCURACY = 1000
+#: bins of a round; rows of a bracket that are ordered in one row
+BINS, EXACT = 4096, 100_000
+
+
+def _in_bracket(keys: list[str]) -> Column:
+    on = (F.col("_bq_v") >= F.col("_bq_lo")) & (F.col("_bq_v") <= F.col("_bq_hi"))
+    for i, c in enumerate(keys):
+        on = on & F.col(c).eqNullSafe(F.col(f"_bq_k{i}"))
+    return on
+
+
+def _magnitude(v: Column) -> Column:
+    """A scale of all doubles, zero in the middle, on which ratios are equal steps."""
+    return F.when(v == 0, 0.0).otherwise(F.signum(v) * (F.log(F.abs(v)) + 750.0))  # log of the least double: -744.4
+
+
+def _bin(first: bool) -> Column:
+    """Place of a value among the bins of its bracket, never falling as the
+    value grows: by value in the first round; then by magnitude while the
+    bracket's ends differ by a factor of 16 or in sign, else by value, so a
+    handful of rounds ends for any values.  The ends have bins of their own:
+    every round splits a bracket, also one with an infinite end."""
+    v, lo, hi = F.col("_bq_v"), F.col("_bq_lo"), F.col("_bq_hi")
+    near = F.lit(True) if first else (F.signum(lo) == F.signum(hi)) & (F.greatest(F.abs(lo), F.abs(hi)) / 16 <= F.least(F.abs(lo), F.abs(hi)))
+    share = F.when(near, F.try_divide(v / 2 - lo / 2, hi / 2 - lo / 2)).otherwise(
+        F.try_divide(_magnitude(v) - _magnitude(lo), _magnitude(hi) - _magnitude(lo)))
+    inner = F.greatest(F.lit(0), F.least(F.lit(BINS - 3), F.coalesce(F.floor(share * (BINS - 2)), F.lit(0)))) + 1
+    return F.when(v == lo, 0).when(v == hi, BINS - 1).otherwise(inner)
+
+
+def _narrowed(d: DataFrame, keys: list[str], wide: DataFrame, first: bool) -> DataFrame:
+    """The brackets inside ``wide`` that hold its ranks."""
+    group = [f"_bq_k{i}" for i in range(len(keys))]
+    counted = (d.join(wide, _in_bracket(keys)).groupBy(*group, "_bq_lo", _bin(first).alias("_bq_b"))
+               .agg(F.count(F.lit(1)).alias("_bq_c"), F.min("_bq_v").alias("_bq_mn"), F.max("_bq_v").alias("_bq_mx"),
+                    F.first("_bq_n").alias("_bq_n"), F.first("_bq_below").alias("_bq_below"), F.first("_bq_ranks").alias("_bq_ranks")))
+    before = F.sum("_bq_c").over(Window.partitionBy(*group, "_bq_lo").orderBy("_bq_b")) - F.col("_bq_c")  # over at most BINS rows
+    placed = counted.withColumn("_bq_below", F.col("_bq_below") + before)
+    ranks = F.filter("_bq_ranks", lambda r: (r >= F.col("_bq_below")) & (r < F.col("_bq_below") + F.col("_bq_c")))
+    return (placed.withColumn("_bq_ranks", ranks).where(F.size("_bq_ranks") > 0)
+            .select(*group, "_bq_n", F.col("_bq_mn").alias("_bq_lo"), F.col("_bq_mx").alias("_bq_hi"), "_bq_c", "_bq_below", "_bq_ranks"))
 
 
 def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
@@ -32,42 +72,33 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
     if not keys:
         return grouped_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, names).drop("_all")
     d = df.select(*keys, F.col(value).cast("double").alias("_bq_v")).where(F.col("_bq_v").isNotNull() & ~F.isnan("_bq_v"))
-    room = 4.0 / ACCURACY
-    low = [max(0.0, p - room) for p in probs]
-    high = [min(1.0, p + room) for p in probs]
-    inf = float("inf")
-    sketch = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bq_n"),
-                                  F.percentile_approx("_bq_v", low + high, ACCURACY).alias("_bq_b"))
-    # in a group of few rows a rank is worth more than the room: there the bracket is the group
-    few = F.col("_bq_n") <= ACCURACY
-    k = len(probs)
-    sketch = sketch.select(
-        *[F.col(c).alias(f"_bq_k{i}") for i, c in enumerate(keys)], "_bq_n",
-        F.array(*[F.struct(F.lit(i).alias("i"),
-                           (F.lit(-inf) if low[i] == 0 else F.when(few, -inf).otherwise(F.col("_bq_b")[i])).alias("lo"),
-                           (F.lit(inf) if high[i] == 1 else F.when(few, inf).otherwise(F.col("_bq_b")[k + i])).alias("hi"))
-                  for i in range(k)]).alias("_bq_w"))
-    same = [F.col(c).eqNullSafe(F.col(f"_bq_k{i}")) for i, c in enumerate(keys)]
-    on = same[0]
-    for c in same[1:]:
-        on = on & c
-    near = F.filter("_bq_w", lambda w: F.col("_bq_v") <= w["hi"])
-    seen = (d.join(sketch, on).select(*keys, "_bq_n", "_bq_v", F.explode(near).alias("_bq_w"))
-            .groupBy(*keys, "_bq_n", F.col("_bq_w.i").alias("_bq_i"), F.when(F.col("_bq_v") >= F.col("_bq_w.lo"), F.col("_bq_v")).alias("_bq_x"))
-            .agg(F.count(F.lit(1)).alias("_bq_c")))
-    order = Window.partitionBy(*keys, "_bq_i").orderBy(F.col("_bq_x").asc_nulls_first())
-    upto = F.sum("_bq_c").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_bq_i") + 1)
-    h = prob * (F.col("_bq_n") - 1)
-
-    def holds(rank):
-        return (F.col("_bq_upto") > rank) & (F.col("_bq_upto") - F.col("_bq_c") <= rank)
-
-    ranked = seen.withColumn("_bq_upto", upto).where(F.col("_bq_x").isNotNull())
-    both = (ranked.where(holds(F.floor(h)) | holds(F.ceil(h)))
-            .groupBy(*keys, "_bq_i").agg(F.min("_bq_x").alias("_bq_a"), F.max("_bq_x").alias("_bq_z"), F.first(h - F.floor(h)).alias("_bq_f")))
-    at = F.col("_bq_a") + F.col("_bq_f") * (F.col("_bq_z") - F.col("_bq_a"))
-    return both.groupBy(*keys).agg(*[F.max(F.when(F.col("_bq_i") == i, at)).alias(n) for i, n in enumerate(names)])
+    group = [f"_bq_k{i}" for i in range(len(keys))]
+    h = [F.lit(float(p)) * (F.col("_bq_n") - 1) for p in probs]
+    ranks = F.array_distinct(F.array(*[f(x) for x in h for f in (F.floor, F.ceil)]))
+    brackets = keep_cached(
+        d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bq_n"), F.min("_bq_v").alias("_bq_lo"), F.max("_bq_v").alias("_bq_hi"))
+        .select(*[F.col(c).alias(g) for c, g in zip(keys, group, strict=True)], "_bq_n", "_bq_lo", "_bq_hi",
+                F.col("_bq_n").alias("_bq_c"), F.lit(0).cast("long").alias("_bq_below"), ranks.alias("_bq_ranks")))
+    wide = (F.col("_bq_c") > EXACT) & (F.col("_bq_lo") < F.col("_bq_hi"))
+    settled, first = brackets.where(~wide), True
+    while not brackets.where(wide).isEmpty():
+        brackets, first = keep_cached(_narrowed(d, keys, brackets.where(wide), first)), False
+        settled = settled.unionByName(brackets.where(~wide))
+    brackets = settled
+    single = F.col("_bq_lo") == F.col("_bq_hi")
+    ordered = (d.join(brackets.where(~single), _in_bracket(keys)).groupBy(*group, "_bq_n", "_bq_lo")
+               .agg(F.sort_array(F.collect_list("_bq_v")).alias("_bq_x"), F.first("_bq_below").alias("_bq_below"),
+                    F.first("_bq_ranks").alias("_bq_ranks")))
+    pick = F.transform("_bq_ranks", lambda r: F.struct(r, F.element_at("_bq_x", (r - F.col("_bq_below") + 1).cast("int"))))
+    same = F.transform("_bq_ranks", lambda r: F.struct(r, F.col("_bq_lo")))
+    found = (ordered.select(*group, "_bq_n", pick.alias("_bq_at")).union(brackets.where(single).select(*group, "_bq_n", same.alias("_bq_at")))
+             .groupBy(*group, "_bq_n").agg(F.map_from_entries(F.flatten(F.collect_list("_bq_at"))).alias("_bq_m")))
+
+    def at(x: Column) -> Column:
+        a, z = F.col("_bq_m")[F.floor(x)], F.col("_bq_m")[F.ceil(x)]
+        return F.when(a == z, a).otherwise(a + (x - F.floor(x)) * (z - a))
+
+    return found.select(*[F.col(g).alias(c) for c, g in zip(keys, group, strict=True)], *[at(x).alias(n) for x, n in zip(h, names, strict=True)])
 
 
 def group_key(cols: list[str]):
@@ -79,18 +110,16 @@ def group_key(cols: list[str]):
 def long_quantiles(df: DataFrame, specs: list[tuple[list[str], str]], probs: list[float],
                    names: list[str] | None = None) -> DataFrame:
     """Quantiles for several (grouping columns, value column) specs in ONE
-    ranking pass.  Rows are stacked as (spec id, group key text, value);
+    pass.  Rows are stacked as (spec id, group key text, value) in one scan;
     the result has ``_spec``, ``_key`` and one column per quantile."""
-    frames = []
+    stacked = []
     for s_id, (cols, value) in enumerate(specs):
-        part = df
+        whole = F.lit(True)
         for c in cols:
-            part = part.where(F.col(c).isNotNull())
-        frames.append(part.select(F.lit(s_id).alias("_spec"), group_key(cols).alias("_key"),
-                                  F.col(value).cast("double").alias("_val")))
-    long = frames[0]
-    for f in frames[1:]:
-        long = long.unionByName(f)
+            whole = whole & F.col(c).isNotNull()
+        stacked.append(F.struct(F.lit(s_id).alias("_spec"), group_key(cols).alias("_key"),
+                                F.when(whole, F.col(value).cast("double")).alias("_val")))
+    long = df.select(F.inline(F.array(*stacked)))  # one scan, whatever the number of specs
     return grouped_quantiles(long, ["_spec", "_key"], "_val", probs, names)
 
 

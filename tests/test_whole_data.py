@@ -122,3 +122,37 @@ def test_quantiles_with_a_hot_value(spark):
     for g in (0, 1):
         assert got[g] == pytest.approx(np.quantile([v for i, v in enumerate(values) if int(i % 3 == 0) == g], probs).tolist())
     assert got[7] == [1.5] * 7 and 8 not in got
+
+
+def test_quantiles_narrow_a_hot_group(spark, monkeypatch):
+    import numpy as np
+
+    from tessera.operators import quantiles as qt
+    monkeypatch.setattr(qt, "EXACT", 500)
+    monkeypatch.setattr(qt, "BINS", 32)
+    n = 200_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, "hot").otherwise("far").alias("g"),
+        F.when(F.col("id") % 3 == 2, F.pow(F.lit(10.0), (F.col("id") % 600).cast("double") - 300)).otherwise(
+            F.when(F.col("id") % 10 < 4, F.lit(7.0)).otherwise((F.col("id") * 7919 % n) / 3.0)).alias("v"))
+    df = df.union(spark.createDataFrame([("inf", float("inf")), ("inf", 1.0), ("inf", float("-inf")), ("nan", float("nan")), ("one", 2.5)], "g string, v double"))
+    probs = [0.0, 0.01, 0.25, 0.5, 0.937, 1.0]
+    seen = {r[0]: list(r)[1:] for r in qt.grouped_quantiles(df, ["g"], "v", probs).collect()}
+    pdf = df.toPandas()
+    for g in (None, "hot", "far", "one"):
+        v = pdf["v"][pdf["g"].isna() if g is None else pdf["g"] == g]
+        assert np.allclose(seen[g], np.quantile(v, probs), rtol=1e-12), g
+    assert seen["inf"][0] == -math.inf and seen["inf"][3] == 1.0 and seen["inf"][5] == math.inf and "nan" not in seen
+
+
+def test_quantile_tasks_stay_bounded(spark, monkeypatch):
+    from tessera.operators import quantiles as qt
+    widest = []
+    narrowed = qt._narrowed
+    monkeypatch.setattr(qt, "_narrowed", lambda d, k, wide, first: widest.append(wide.agg(F.max("_bq_c")).first()[0]) or narrowed(d, k, wide, first))
+    df = spark.range(1_000_000).select(F.lit("g").alias("g"), F.sqrt(F.col("id") * 1.5).alias("v"))
+    q = qt.grouped_quantiles(df, ["g"], "v", [0.5], ["m"])
+    assert widest == [1_000_000]  # one round: a bin of the million distinct values is under EXACT
+    assert q.first()["m"] == pytest.approx((math.sqrt(499_999 * 1.5) + math.sqrt(500_000 * 1.5)) / 2)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan.split("InMemoryTableScan")[0]
