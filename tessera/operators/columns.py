@@ -8,6 +8,7 @@ from __future__ import annotations
 import fnmatch
 import re
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -138,12 +139,87 @@ def missing_pattern_flags(df: DataFrame, prefixes: list[str], template: str = "h
 
 
 # P14, P15 -------------------------------------------------------------------
+def _shifted(m: tuple, delta: np.ndarray) -> tuple:
+    """Pairwise moments after every value of column i grew by delta[i]."""
+    n, s, q2, p = m
+    d = delta[:, None]
+    return (n, s + n * d, q2 + 2 * d * s + n * d * d, p + d.T * s + d * s.T + n * d * d.T)
+
+
+def _merged(parts: list[tuple[np.ndarray, tuple]]) -> tuple[np.ndarray, tuple] | None:
+    """Moments about one shift from moments about several."""
+    out = None
+    for shift, m in parts:
+        if out is None:
+            out = (shift, m)
+        else:
+            out = (out[0], tuple(a + b for a, b in zip(out[1], _shifted(m, shift - out[0]), strict=True)))
+    return out
+
+
+def pair_moments(df: DataFrame, cols: list[str], buckets: int = 64) -> tuple[np.ndarray, ...]:
+    """(n, sum x, sum x^2, sum xy) over the rows where both columns have a value,
+    for all pairs of columns in one scan; entry [i, j] is of column i.
+
+    Every task adds up d x d matrices under presence masks, about means of its
+    own first rows; parts meet by bucket and then in one task, so what reaches
+    the driver depends on the number of columns only.  NaN counts as missing.
+    """
+    d = len(cols)
+    ddl = "bucket int, part binary"
+
+    def pack(shift: np.ndarray, m: tuple) -> bytes:
+        return np.concatenate((shift, *[x.ravel() for x in m])).tobytes()
+
+    def unpack(raw: bytes) -> tuple[np.ndarray, tuple]:
+        flat = np.frombuffer(raw)
+        return flat[:d], tuple(flat[d:].reshape(4, d, d))
+
+    def moments(batches):
+        import pandas as pd
+        from pyspark import TaskContext
+        shift, total = None, None
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=float, na_value=np.nan)
+            here = ~np.isnan(x)
+            if shift is None:
+                shift = np.divide(np.where(here, x, 0.0).sum(axis=0), np.maximum(here.sum(axis=0), 1))
+            x = np.where(here, x - shift, 0.0)
+            m = here.astype(float)
+            part = (m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x)
+            total = part if total is None else tuple(a + b for a, b in zip(total, part, strict=True))
+        if total is not None:
+            yield pd.DataFrame({"bucket": [TaskContext.get().partitionId() % buckets], "part": [pack(shift, total)]})
+
+    def add(pdf):
+        out = pdf.iloc[:1].copy()
+        out["part"] = [pack(*_merged([unpack(p) for p in pdf["part"]]))]
+        return out
+
+    plain = df.select(*[q(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    parts = plain.mapInPandas(moments, ddl).groupBy("bucket").applyInPandas(add, ddl)
+    found = parts.withColumn("bucket", F.lit(0)).groupBy("bucket").applyInPandas(add, ddl).first()
+    return unpack(found["part"])[1] if found else tuple(np.zeros((4, d, d)))
+
+
+def correlation_matrix(df: DataFrame, cols: list[str]) -> np.ndarray:
+    """Pairwise-complete Pearson correlations; NaN where a column is constant
+    or fewer than two rows have both values."""
+    n, s, q2, p = pair_moments(df, cols)
+    with np.errstate(all="ignore"):
+        cov = n * p - s * s.T
+        var = n * q2 - s * s
+        var = np.where(var > 1e-12 * n * q2, var, np.nan)
+        return np.clip(cov / np.sqrt(var * var.T), -1.0, 1.0)
+
+
 def correlation_pairs(df: DataFrame, cols: list[str]) -> dict[tuple[str, str], float | None]:
-    """Pairwise-complete Pearson correlation of every pair (one chunked agg)."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    row = wide_agg(df, [F.corr(q(a).cast("double"), q(b).cast("double")).alias(f"r{i}")
-                        for i, (a, b) in enumerate(pairs)]) if pairs else {}
-    return {p: row[f"r{i}"] for i, p in enumerate(pairs)}
+    """Pairwise-complete Pearson correlation of every pair, from one scan."""
+    if len(cols) < 2:
+        return {}
+    r = correlation_matrix(df, cols)
+    return {(a, b): None if np.isnan(r[i, j]) else float(r[i, j])
+            for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j}
 
 
 def correlated_to_drop(df: DataFrame, threshold: float = 0.98, cols: list[str] | None = None,

@@ -16,13 +16,14 @@ from __future__ import annotations
 
 import math
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lookup import fit_table
+from .lookup import StatsTable, fit_table
 from .quantiles import column_quantiles, grouped_quantiles
 
 _ALL = "__all__"
@@ -82,23 +83,52 @@ def flag_inliers(df: DataFrame, target: str, method: str = "iqr", group_col: str
                  min_group_size: int = 30, fallback: str = "skip", iqr_factor: float = 1.5,
                  z_thresh: float = 4.0, out_col: str = "is_inlier", exact: bool = True) -> DataFrame:
     """Add a boolean inlier column (IQR fence or z-score, O1/O2/O5)."""
-    v = F.col(target).cast("double")
-    tmp = ("_n", "_q", "_mean", "_std")
+    fit = fit_fences(df, target, method, group_col, min_group_size, fallback, iqr_factor, z_thresh, exact)
+    return apply_fences(df, fit, out_col)
+
+
+@dataclass
+class Fences:
+    """Fitted fences: the settings, the statistics of all rows and of each group."""
+
+    target: str
+    method: str = "iqr"
+    group_col: str | None = None
+    min_group_size: int = 30
+    fallback: str = "skip"
+    iqr_factor: float = 1.5
+    z_thresh: float = 4.0
+    overall: dict | None = None
+    groups: StatsTable | None = None
+
+
+def fit_fences(df: DataFrame, target: str, method: str = "iqr", group_col: str | None = None, min_group_size: int = 30,
+               fallback: str = "skip", iqr_factor: float = 1.5, z_thresh: float = 4.0, exact: bool = True) -> Fences:
     need_q = method == "iqr"
-    if not group_col:
-        out = df.withColumns(_lit_stats(_global_stats(df, target, exact, need_q)))
-        return out.withColumn(out_col, _inlier_expr(v, method, iqr_factor, z_thresh)).drop(*tmp)
-    gstats = fit_table(_group_stats(df, group_col, target, exact, need_q), [group_col])
-    out = df.join(gstats.joinable(), group_col, "left")
-    small = F.col("_n") < min_group_size
-    if fallback == "global":
-        glob = _lit_stats(_global_stats(df, target, exact, need_q))
+    fit = Fences(target, method, group_col, min_group_size, fallback, iqr_factor, z_thresh)
+    if group_col:
+        fit.groups = fit_table(_group_stats(df, group_col, target, exact, need_q), [group_col])
+    if not group_col or fallback == "global":
+        fit.overall = _global_stats(df, target, exact, need_q)
+    return fit
+
+
+def apply_fences(df: DataFrame, fit: Fences, out_col: str = "is_inlier") -> DataFrame:
+    v = F.col(fit.target).cast("double")
+    tmp = ("_n", "_q", "_mean", "_std")
+    if not fit.group_col:
+        out = df.withColumns(_lit_stats(fit.overall))
+        return out.withColumn(out_col, _inlier_expr(v, fit.method, fit.iqr_factor, fit.z_thresh)).drop(*tmp)
+    out = df.join(fit.groups.joinable(), fit.group_col, "left")
+    small = F.col("_n") < fit.min_group_size
+    if fit.fallback == "global":
+        glob = _lit_stats(fit.overall)
         for c in ("_q", "_mean", "_std"):
             out = out.withColumn(c, F.when(small, glob[c]).otherwise(F.col(c)))
-        flag = _inlier_expr(v, method, iqr_factor, z_thresh)
+        flag = _inlier_expr(v, fit.method, fit.iqr_factor, fit.z_thresh)
     else:
-        flag = F.when(small, F.lit(True)).otherwise(_inlier_expr(v, method, iqr_factor, z_thresh))
-    flag = F.when(F.col(group_col).isNull(), F.lit(False)).otherwise(flag)
+        flag = F.when(small, F.lit(True)).otherwise(_inlier_expr(v, fit.method, fit.iqr_factor, fit.z_thresh))
+    flag = F.when(F.col(fit.group_col).isNull(), F.lit(False)).otherwise(flag)
     return out.withColumn(out_col, flag).drop(*tmp)
 
 

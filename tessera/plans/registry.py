@@ -18,5 +18,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> dict:
     # Importing the query modules fills the registry.
-    from . import q_assembly, q_checks, q_eda, q_features, q_metrics, q_models, q_prep, q_stream, q_validate  # noqa: F401
+    from . import q_assembly, q_checks, q_eda, q_features, q_metrics, q_models, q_prep, q_preprocess, q_stream, q_validate  # noqa: F401
     return REGISTRY

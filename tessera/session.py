@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Conservative runtime defaults, applied only when the session has no value.
 _RUNTIME_DEFAULTS = {
@@ -80,6 +81,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def cut_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` below the shared checkpoint folder and read it back: its plan
+    becomes one scan.  Gives the folder too; it goes when the application ends,
+    or with :func:`drop_table`."""
+    spark = df.sparkSession
+    path = f"{scratch_path(spark, name)}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    fs, jpath = _hadoop_path(spark, path)
+    fs.deleteOnExit(jpath)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    fs, jpath = _hadoop_path(spark, path)
+    fs.delete(jpath, True)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     base = checkpoint_dir(spark)

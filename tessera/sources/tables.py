@@ -91,12 +91,23 @@ def save_table(df: DataFrame, path: str, fmt: str = "parquet",
         writer.option("header", "true").csv(path)
 
 
-def write_profile(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write features, target, original-scale target and group columns of all
-    splits in one pass, partitioned by ``split`` (IO5)."""
+def write_profile(df: DataFrame, path: str, mode: str = "overwrite", meta: dict | None = None) -> None:
+    """Write features, target, original-scale target and group columns of the
+    splits in ``df`` in one pass, partitioned by ``split`` (IO5).
+
+    Only the splits that ``df`` holds are replaced (dynamic partition
+    overwrite); the others stay as they are.  ``meta`` is written beside them,
+    where readers of the table don't look for data."""
     if "split" not in df.columns:
         raise ValueError("profile frame needs a 'split' column")
-    df.write.mode(mode).partitionBy("split").parquet(path)
+    df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("split").parquet(path)
+    if meta is not None:
+        write_metadata(df.sparkSession, meta, f"{path}/_meta")
+
+
+def read_profile(spark: SparkSession, path: str, split: str) -> tuple[DataFrame, dict]:
+    """One split of a profile and the metadata written with it (IO3, IO6)."""
+    return read_split(spark, path, split), read_metadata(spark, f"{path}/_meta")
 
 
 def write_metadata(spark: SparkSession, meta: dict, path: str) -> None:
