@@ -222,6 +222,13 @@ def coder_for(rank_file: bytes, pattern: str) -> ByteBPE:
     return _CODERS[key]
 
 
+def forget() -> None:
+    """Drop the tables and pieces of this worker."""
+    for bpe in _CODERS.values():
+        bpe.pieces.clear()
+    _CODERS.clear()
+
+
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
                   text_col: str = "text", keep: list[str] | None = None,
                   with_ids: bool = False, with_decoded: bool = False, remember: bool = True) -> DataFrame:
@@ -263,7 +270,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
             return out | {"n_tokens": count, "ids_sha256": coded, "decoded_sha256": plain,
                           "token_ids": lists, "decoded": texts}
         if not remember:
-            fn.finish = bpe.pieces.clear
+            fn.finish = forget
         return fn
 
     out = map_batches(rows, ddl, make)

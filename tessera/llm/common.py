@@ -7,6 +7,7 @@ by driver and executors), so a lost executor never takes lineage with it.
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -74,6 +75,14 @@ def cut(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return freed memory to the system when a task ends: the Python worker
+    lives on for the next task, maybe another operator's, beside the executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     """The Arrow form of a DDL schema (made on the driver, shipped with a closure)."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -98,6 +107,8 @@ def map_batches(df: DataFrame, ddl: str, make: Callable[[], Callable]) -> DataFr
                     yield as_batch(out, schema)
         finally:
             getattr(fn, "finish", int)()
+            del fn
+            give_back()
 
     return df.mapInArrow(run, ddl)
 
@@ -240,6 +251,8 @@ def add_parts(parts: DataFrame, blocks: int) -> np.ndarray:
             total += np.frombuffer(p)
         out = pdf.iloc[:1].copy()
         out["part"] = [total.tobytes()]
+        del pdf, total
+        give_back()
         return out
 
     sums = parts.groupBy("block", "bucket").applyInPandas(add, ddl).groupBy("block").applyInPandas(add, ddl)

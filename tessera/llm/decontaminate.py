@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_parts, arrow_schema, as_batch, map_batches, mix64, one, slices, text_bytes, text_of, words_of
+from .common import add_parts, arrow_schema, as_batch, give_back, map_batches, mix64, one, slices, text_bytes, text_of, words_of
 
 CHUNK = 64
 PASSAGE, STRIDE = 64, 32
@@ -169,11 +169,16 @@ def corpus_sums(texts: DataFrame, hashes: np.ndarray) -> tuple[int, np.ndarray,
         for batch in batches:
             for part in slices(batch.column(0), SLICE) if batch.num_rows else ():
                 total += chunk_sums(terms, df, z, part)
-        rows = np.hstack([df[:, None], z]).astype(np.float64)
-        rows = np.vstack([rows, np.full((1, RANK + 1), float(total))])
         bucket = TaskContext.get().partitionId() % BUCKETS
-        for i, part in enumerate(np.array_split(rows, blocks)):
+        # the last row holds the number of chunks; blocks are made one at a time
+        for i, at in enumerate(np.array_split(np.arange(size + 1), blocks)):
+            inner = at[at < size]
+            part = np.hstack([df[inner, None], z[inner]])
+            if at[-1] == size:
+                part = np.vstack([part, np.full((1, RANK + 1), float(total))])
             yield as_batch({"block": [i], "bucket": [bucket], "part": [part.tobytes()]}, schema)
+        del df, z
+        give_back()
 
     rows = add_parts(texts.mapInArrow(sums, ddl), blocks).reshape(-1, RANK + 1)
     if not len(rows):
@@ -350,6 +355,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str =
                     done += len(part)
                 take = pa.array(np.flatnonzero(keep))
                 return {f"k{i}": one(batch.column(i)).take(take) for i in range(len(cols))}
+            fn.finish = _SPACES.clear  # a stage of a pipeline leaves the memory to the next one
             return fn
 
         rows = map_batches(rows, ddl, make).withColumn("t", text_of(f"k{at}"))

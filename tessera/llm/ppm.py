@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import _LOWER, _SPACE, arrow_schema, as_batch, cut, mix64, slices, text_bytes, text_of
+from .common import _LOWER, _SPACE, arrow_schema, as_batch, cut, give_back, mix64, slices, text_bytes, text_of
 
 #: bytes of context; at most 6, so that a gram fits a long
 ORDER = 5
@@ -232,7 +232,7 @@ def asks(blocks: DataFrame, order: int) -> DataFrame:
         if block is not None:
             yield from (as_batch(x, schema) for x in block.rows())
         block = None
-        pa.default_memory_pool().release_unused()  # the worker lives on
+        give_back()
 
     return cut(blocks.mapInArrow(run, ASKS), "ppm-asks", "zstd")
 
@@ -382,7 +382,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int =
                 pa.array(np.bincount(of, c > 0, minlength=m).astype(np.int64) + (ends > 0)), pa.array(np.full(m, tokens)),
                 pa.array(np.bincount(of, np.log10(c + 1) - share, minlength=m) + np.log10(ends + 1) - share),
                 pa.array(np.add.reduceat(logp[np.searchsorted(gram, g)], begin))], schema=schema))
-        pa.default_memory_pool().release_unused()
+        give_back()
         return pa.Table.from_batches(out, schema)
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, ddl)
