@@ -9,8 +9,9 @@ the reference starts False and its group loop never visits them.
 The isolation forest (O3) is distributed: rows are replicated only into the
 trees whose hash-sample they belong to, each (group, tree) builds a small
 1-D tree in ``applyInPandas`` (bounded input: about 4x the subsample size),
-the trees of a group are merged into elementary intervals with a constant
-anomaly score, and rows find their interval through a bucketed equi-join.
+the trees of a group are merged into one sorted array of elementary intervals
+with their scores, the group's values are counted in them by binary search, and
+what is left of a fit is the ranges of values above the contamination cut.
 """
 from __future__ import annotations
 
@@ -20,13 +21,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lookup import StatsTable, fit_table
+from .lookup import StatsTable, fit_table, keep_cached
 from .quantiles import column_quantiles, grouped_quantiles
 
 _ALL = "__all__"
+#: distinct values of a group that one task looks up
+PART = 500_000
 
 
 def _inlier_expr(v: Column, method: str, iqr_factor: float, z_thresh: float) -> Column:
@@ -195,75 +199,137 @@ def _build_tree(pdf: pd.DataFrame, psi: int, seed: int) -> pd.DataFrame:
 
 
 def _merge_trees(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Elementary intervals of all trees of a group with the mean path."""
-    g = pdf["_g"].iloc[0]
-    n_trees = pdf["_tree"].nunique()
-    psi = int(pdf["_psi"].iloc[0])
+    """The forest of a group as one row: the sorted upper ends of its elementary
+    intervals (the last one is infinite) and the anomaly score on each."""
+    g, psi = pdf["_g"].iloc[0], int(pdf["_psi"].iloc[0])
     cuts = np.unique(np.concatenate([pdf["lo"].to_numpy(), pdf["hi"].to_numpy()]))
     cuts = cuts[np.isfinite(cuts)]
-    bounds = np.concatenate([[-np.inf], cuts, [np.inf]])
-    mids = np.where(np.isinf(bounds[:-1]), bounds[1:] - 1.0,
-                    np.where(np.isinf(bounds[1:]), bounds[:-1] + 1.0, (bounds[:-1] + bounds[1:]) / 2))
-    total = np.zeros(len(mids))
-    for _, tr in pdf.groupby("_tree"):
-        tr = tr.sort_values("lo")
-        idx = np.searchsorted(tr["hi"].to_numpy(), mids, side="right")
-        idx = np.clip(idx, 0, len(tr) - 1)
-        total += tr["path"].to_numpy()[idx]
+    starts, ends = np.append(-np.inf, cuts), np.append(cuts, np.inf)
+    total, n_trees = np.zeros(len(ends)), 0
+    for _, tree in pdf.groupby("_tree"):
+        tree = tree.sort_values("lo")
+        total += tree["path"].to_numpy()[np.searchsorted(tree["lo"].to_numpy(), starts, side="right") - 1]
+        n_trees += 1
     score = np.power(2.0, -(total / n_trees) / max(_c(psi), 1e-12))
-    return pd.DataFrame({"_g": g, "lo": bounds[:-1], "hi": bounds[1:], "score": score})
+    return pd.DataFrame({"_g": [g], "_ends": [ends], "_scores": [score]})
+
+
+def _count_places(values: pa.Table, forest: pa.Table) -> pa.Table:
+    """Rows of a part of a group in each elementary interval of its forest."""
+    if not values.num_rows or not forest.num_rows:
+        return pa.table({"_g": pa.array([], pa.string()), "_i": pa.array([], pa.int32()), "_rows": pa.array([], pa.int64())})
+    ends = np.asarray(forest["_ends"][0].values)
+    place = np.searchsorted(ends, values["_v"].to_numpy(), side="right")
+    rows = np.zeros(len(ends), np.int64)
+    np.add.at(rows, place, values["_times"].to_numpy())
+    held = np.flatnonzero(rows)
+    return pa.table({"_g": pa.array([values["_g"][0].as_py()] * len(held), pa.string()),
+                     "_i": pa.array(held.astype(np.int32)), "_rows": pa.array(rows[held])})
+
+
+def _outlier_ranges(forest: pd.DataFrame, counts: pd.DataFrame, contamination: float) -> pd.DataFrame:
+    """Ranges of values scored above the (1 - contamination) quantile of the
+    scores of the group's rows (interpolated between neighbours)."""
+    g = forest["_g"].iloc[0]
+    ends, scores = np.asarray(forest["_ends"].iloc[0]), np.asarray(forest["_scores"].iloc[0])
+    held = counts.groupby("_i")["_rows"].sum()
+    by_score = pd.Series(held.to_numpy(), index=scores[held.index.to_numpy()]).groupby(level=0).sum()
+    upto = by_score.cumsum().to_numpy()
+    place = (1 - contamination) * (upto[-1] - 1)
+    low, high = by_score.index.to_numpy()[np.searchsorted(upto, [math.floor(place), math.ceil(place)], side="right")]
+    out = scores > low + (high - low) * (place - math.floor(place))
+    edge = np.diff(np.concatenate([[False], out, [False]]).astype(np.int8))
+    starts = np.append(-np.inf, ends[:-1])
+    ranges = [{"lo": float(starts[i]), "hi": float(ends[j - 1])} for i, j in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
+    return pd.DataFrame({"_g": [g], "_ranges": [ranges]})
+
+
+def _usable(v: Column) -> Column:
+    return v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))
+
+
+def fit_forest(df: DataFrame, target: str, contamination: float = 0.02, group_col: str | None = None, n_trees: int = 100,
+               max_samples: int = 256, seed: int = 42, id_cols: list[str] | None = None) -> StatsTable:
+    """1-D isolation forests by group (O3): one row a group with the ranges of
+    values that are outliers.
+
+    Sampling is by ``xxhash64(seed, tree, row id)``, so the result does not
+    depend on partitioning.  The forest of a group is one sorted array (at most
+    ``n_trees * max_samples`` ends); the group's distinct values are dealt into
+    parts of about ``PART`` and find their interval by binary search, whatever
+    their spacing.  A NULL group has no forest; NULL, NaN and infinite targets
+    take no part."""
+    gcol = F.col(group_col).cast("string") if group_col else F.lit(_ALL)
+    rows = df.select(gcol.alias("_g"), F.col(target).cast("double").alias("_v"),
+                     F.xxhash64(*[F.col(c) for c in (id_cols or df.columns)]).alias("_rid"))
+    rows = rows.where(F.col("_g").isNotNull() & _usable(F.col("_v")))
+    sizes = fit_table(rows.groupBy("_g").agg(F.count(F.lit(1)).alias("_gn")), ["_g"])
+    sized = rows.join(sizes.joinable(), "_g")
+    # a row is in a tree with probability about 4 * psi / n: the input of a tree is bounded
+    p = F.least(F.lit(1.0), F.lit(4.0 * max_samples) / F.col("_gn"))
+    trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
+                     lambda t: F.xxhash64(F.lit(seed), t, F.col("_rid")) / F.lit(2.0 ** 64) + 0.5 < p)
+    sampled = (sized.select("_g", "_v", "_rid", F.explode(trees).alias("_tree"))
+               .select("_g", "_tree", "_v", F.xxhash64(F.lit(seed + 1), F.col("_tree"), F.col("_rid")).alias("_h")))
+    leaves = sampled.groupBy("_g", "_tree").applyInPandas(
+        lambda pdf: _build_tree(pdf, max_samples, seed), "_g string, _tree int, lo double, hi double, path double")
+    psi = sizes.joinable().select("_g", F.least(F.col("_gn"), F.lit(max_samples)).alias("_psi"))
+    forest = keep_cached(leaves.join(psi, "_g").groupBy("_g").applyInPandas(
+        _merge_trees, "_g string, _ends array<double>, _scores array<double>"))
+    parts = F.ceil(F.col("_gn") / PART).cast("int")
+    values = (rows.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_times")).join(sizes.joinable(), "_g")
+              .select("_g", F.pmod(F.xxhash64("_v"), parts).cast("int").alias("_part"), "_v", "_times"))
+    copies = (forest.join(sizes.joinable(), "_g")
+              .select("_g", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"), "_ends"))
+    counts = (values.groupBy("_g", "_part").cogroup(copies.groupBy("_g", "_part"))
+              .applyInArrow(_count_places, "_g string, _i int, _rows long")
+              .groupBy("_g", "_i").agg(F.sum("_rows").alias("_rows")))
+    ranges = forest.groupBy("_g").cogroup(counts.groupBy("_g")).applyInPandas(
+        lambda f, c: _outlier_ranges(f, c, contamination), "_g string, _ranges array<struct<lo: double, hi: double>>")
+    return fit_table(ranges, ["_g"])
+
+
+def apply_forest(df: DataFrame, target: str, fit: StatsTable, group_col: str | None = None, out_col: str = "is_inlier_iso") -> DataFrame:
+    """Inlier flag from fitted ranges; every row of ``df`` stays.  Targets that
+    are NULL, NaN or infinite, rows of groups without a forest: inliers; rows of
+    a NULL group: not, as for the fences."""
+    v = F.col(target).cast("double")
+    key = F.col(group_col).cast("string") if group_col else F.lit(_ALL)
+    out = df.withColumn("_g", key).join(fit.joinable(), "_g", "left")
+    hit = F.exists(F.col("_ranges"), lambda r: (v >= r["lo"]) & (v < r["hi"]))
+    flag = F.when(F.col("_g").isNull(), F.lit(False)).otherwise(~F.coalesce(_usable(v) & hit, F.lit(False)))
+    return out.withColumn(out_col, flag).drop("_g", "_ranges")
 
 
 def isolation_forest_inliers(df: DataFrame, target: str, contamination: float = 0.02,
                              group_col: str | None = None, n_trees: int = 100,
                              max_samples: int = 256, seed: int = 42, id_cols: list[str] | None = None,
-                             out_col: str = "is_inlier_iso", buckets: int = 4096) -> DataFrame:
-    """Inlier flag from a distributed 1-D isolation forest (O3).
-
-    NULL/inf targets are inliers.  Sampling is by ``xxhash64(seed, tree,
-    row id)``, so the result does not depend on partitioning.
-    """
-    spark = df.sparkSession
-    ids = [F.col(c) for c in (id_cols or df.columns)]
-    gcol = F.col(group_col).cast("string") if group_col else F.lit(_ALL)
-    base = df.withColumn("_g", gcol).withColumn("_v", F.col(target).cast("double")) \
-             .withColumn("_rid", F.xxhash64(*ids))
-    valid = base.where(F.col("_v").isNotNull() & ~F.isnan("_v") & (F.abs("_v") != float("inf")))
-    gsize = fit_table(valid.groupBy("_g").agg(F.count(F.lit(1)).alias("_gn"),
-                                              F.min("_v").alias("_gmin"), F.max("_v").alias("_gmax")),
-                      ["_g"])
-    rows = valid.join(gsize.joinable(), "_g")
-    # Keep each row in a tree with probability ~ 4*psi/n: bounded tree input.
-    p = F.least(F.lit(1.0), F.lit(4.0 * max_samples) / F.col("_gn"))
-    trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                     lambda t: F.xxhash64(F.lit(seed), t, F.col("_rid")) / F.lit(2.0 ** 64) + 0.5 < p)
-    sampled = (rows.select("_g", "_v", "_rid", "_gn", F.explode(trees).alias("_tree"))
-               .withColumn("_h", F.xxhash64(F.lit(seed + 1), F.col("_tree"), F.col("_rid"))))
-    leaf_schema = "_g string, _tree int, lo double, hi double, path double"
-    leaves = sampled.select("_g", "_tree", "_v", "_h").groupBy("_g", "_tree").applyInPandas(
-        lambda pdf: _build_tree(pdf, max_samples, seed), leaf_schema)
-    psi = gsize.df.select("_g", F.least(F.col("_gn"), F.lit(max_samples)).alias("_psi"))
-    intervals = leaves.join(F.broadcast(psi) if gsize.rows <= 100_000 else psi, "_g").groupBy("_g") \
-        .applyInPandas(_merge_trees, "_g string, lo double, hi double, score double")
-    # Bucketed range lookup: each interval is listed under every grid bucket it
-    # touches; each row meets only the intervals of its own bucket.
-    width = (F.col("_gmax") - F.col("_gmin")) / buckets
-
-    def b_of(x):
-        clamped = F.least(F.greatest(x, F.col("_gmin")), F.col("_gmax"))
-        b = F.floor((clamped - F.col("_gmin")) / width)
-        return F.when(width > 0, F.least(b, F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
-    iv = intervals.join(gsize.joinable(), "_g")
-    iv = iv.withColumn("_b", F.explode(F.sequence(b_of(F.col("lo")), b_of(F.col("hi"))))) \
-        .select("_g", "_b", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("score").alias("_score"))
-    scored = (rows.withColumn("_b", b_of(F.col("_v")))
-              .join(iv, ["_g", "_b"])
-              .where((F.col("_v") >= F.col("_lo")) & (F.col("_v") < F.col("_hi"))))
-    thr = fit_table(grouped_quantiles(scored, ["_g"], "_score", [1 - contamination], ["_thr"]), ["_g"])
-    flagged = (scored.join(thr.joinable(), "_g")
-               .withColumn(out_col, F.col("_score") <= F.col("_thr"))
-               .select(*df.columns, out_col))
-    invalid = base.where(~(F.col("_v").isNotNull() & ~F.isnan("_v") & (F.abs("_v") != float("inf")))) \
-        .select(*df.columns, F.lit(True).alias(out_col))
-    del spark
-    return flagged.unionByName(invalid)
+                             out_col: str = "is_inlier_iso") -> DataFrame:
+    """Inlier flag from a distributed 1-D isolation forest (O3), fitted on the same rows."""
+    fit = fit_forest(df, target, contamination, group_col, n_trees, max_samples, seed, id_cols)
+    return apply_forest(df, target, fit, group_col, out_col)
+
+
+def ensemble_inliers(df: DataFrame, target: str, group_col: str | None = None, min_group_size: int = 30,
+                     fallback: str = "skip", iqr_factor: float = 1.5, z_thresh: float = 4.0, contamination: float = 0.02,
+                     n_trees: int = 100, seed: int = 42, id_cols: list[str] | None = None, out_col: str = "is_inlier") -> DataFrame:
+    """Inlier when two of the IQR fence, the z-score and the isolation forest
+    say so; the three votes stay as ``in_iqr``, ``in_z``, ``in_iso``.
+
+    Groups under ``min_group_size`` keep their rows (``skip``) or are judged by
+    the statistics and the forest of all rows (``global``)."""
+    forest = {"contamination": contamination, "n_trees": n_trees, "seed": seed, "id_cols": id_cols}
+    iqr = fit_fences(df, target, "iqr", group_col, min_group_size, fallback, iqr_factor, z_thresh)
+    z = fit_fences(df, target, "zscore", group_col, min_group_size, fallback, iqr_factor, z_thresh)
+    own = fit_forest(df, target, group_col=group_col, **forest)
+    out = apply_forest(apply_fences(apply_fences(df, iqr, "in_iqr"), z, "in_z"), target, own, group_col, "in_iso")
+    if group_col:
+        out = out.join(iqr.groups.joinable().select(group_col, F.col("_n").alias("_size")), group_col, "left")
+        small = F.coalesce(F.col("_size") < min_group_size, F.lit(False))
+        if fallback == "global":
+            out = apply_forest(out, target, fit_forest(df, target, **forest), None, "_all_iso")
+            out = out.withColumn("in_iso", F.when(small, F.col("_all_iso")).otherwise(F.col("in_iso"))).drop("_all_iso")
+        else:
+            out = out.withColumn("in_iso", small | F.col("in_iso"))
+        out = out.drop("_size")
+    return out.withColumn(out_col, vote(["in_iqr", "in_z", "in_iso"]))

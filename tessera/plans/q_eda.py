@@ -195,6 +195,30 @@ def q_outlier_method_comparison(spark, sf_dir):
     return out.withColumn("inlier_median", F.round("inlier_median", 4))
 
 
+@register("outlier_ensemble", with_sales("""
+, st AS (SELECT segment, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3,
+                avg(l_extendedprice) AS mu, stddev_pop(l_extendedprice) AS sd FROM sales GROUP BY segment),
+fl AS (SELECT s.segment, l_extendedprice >= q1 - 0.75 * (q3 - q1) AND l_extendedprice <= q3 + 0.75 * (q3 - q1) AS i,
+              abs((l_extendedprice - mu) / sd) <= 2.0 AS z FROM sales s JOIN st USING (segment))
+SELECT segment, count(*) AS n_rows, count(*) FILTER (WHERE NOT i) AS iqr_out, count(*) FILTER (WHERE NOT z) AS z_out,
+       count(*) FILTER (WHERE i AND z) AS settled_in, count(*) FILTER (WHERE NOT i AND NOT z) AS settled_out,
+       CAST(0 AS BIGINT) AS vote_breaks, TRUE AS iso_share_kept FROM fl GROUP BY segment"""))
+def q_outlier_ensemble(spark, sf_dir):
+    """Two of three votes by group, the isolation forest among them.  Where
+    fence and z-score agree they settle the vote; ``vote_breaks`` counts rows
+    whose vote is not that of two of the flags; the forest's share of outliers
+    is at most the contamination."""
+    s = sales(spark, sf_dir).select(*KEY_OUT, "segment", "l_extendedprice")
+    out = ol.ensemble_inliers(s, "l_extendedprice", "segment", iqr_factor=0.75, z_thresh=2.0, contamination=0.05,
+                              n_trees=50, id_cols=KEY_OUT)
+    i, z, f, kept = (F.col(c) for c in ("in_iqr", "in_z", "in_iso", "is_inlier"))
+    return out.groupBy("segment").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(~i).alias("iqr_out"), F.count_if(~z).alias("z_out"),
+        F.count_if(i & z & kept).alias("settled_in"), F.count_if(~i & ~z & ~kept).alias("settled_out"),
+        F.count_if(kept != ((i & z) | (i & f) | (z & f))).alias("vote_breaks"),
+        (F.count_if(~f) <= F.lit(0.05) * F.count(F.lit(1)) + 1).alias("iso_share_kept"))
+
+
 @register("outlier_overlap", with_sales(_FLAG_SQL + """
 SELECT count(*) FILTER (WHERE iqr_out) AS n_iqr, count(*) FILTER (WHERE z_out) AS n_z, count(*) FILTER (WHERE mz_out) AS n_mz,
        count(*) FILTER (WHERE iqr_out AND NOT z_out AND NOT mz_out) AS only_iqr,
