@@ -79,6 +79,55 @@ def residual_intervals(train_preds: DataFrame, preds: DataFrame, levels=(0.8, 0.
     return out
 
 
+#: modulus of the arithmetic draw (fixed value: the Mersenne prime 2^31 - 1)
+DRAW_MOD = 2_147_483_647
+
+
+def draw_rank(key, draw, n: int, seed: int = 42):
+    """Rank 0 .. n - 1 that draw number ``draw`` of the row with integer ``key``
+    takes: products and squares modulo a prime, all below 2^63, so SQL can
+    repeat it.  Beyond 2^31 residuals the ranks are 2^31 even steps apart."""
+    m = F.pmod(key.cast("long"), F.lit(DRAW_MOD))
+    a = F.pmod(m * 48271 + (draw.cast("long") + 1) * 69621 + F.lit(seed), F.lit(DRAW_MOD))
+    b = F.pmod(a * a + 12345, F.lit(DRAW_MOD))
+    c = F.pmod(b * 48271 + m, F.lit(DRAW_MOD))
+    d = F.pmod(c * c + a, F.lit(DRAW_MOD))
+    return F.least(F.floor(d / F.lit(float(DRAW_MOD)) * F.lit(float(n))).cast("long"), F.lit(max(n - 1, 0)))
+
+
+def bootstrap_intervals(train_preds: DataFrame, preds: DataFrame, row_key: str, order_cols: list[str], levels=(0.8, 0.9),
+                        draws: int = 100, seed: int = 42, y: str = "y_true", p: str = "y_pred") -> DataFrame:
+    """Residual bootstrap (L8): every row draws ``draws`` training residuals with
+    replacement and takes ``lo_<level>`` / ``hi_<level>`` from the percentiles of
+    prediction + residual.
+
+    Residuals are numbered in their order, so the percentile of a row's draws is
+    found among its drawn *ranks*: a row looks up the few ranks its levels need,
+    not its draws, by an equi-join whose keys are spread evenly over the
+    residuals.  ``row_key``: integer column; rows with one key draw alike, a NULL
+    key gives NULL bounds.  ``order_cols`` break ties between equal residuals.
+    NULL residuals are left out; without any, bounds are NULL."""
+    from .ranking import global_positions
+    residuals = train_preds.select((F.col(y) - F.col(p)).cast("double").alias("_res"), *order_cols).where(F.col("_res").isNotNull())
+    numbered = global_positions(residuals, ["_res", *order_cols], "_rank").select("_rank", "_res")
+    n = numbered.count()
+    tags = [(f"{side}_{round(lv * 100)}", share) for lv in levels for side, share in (("lo", (1 - lv) / 2), ("hi", (1 + lv) / 2))]
+    at = {name: share * (draws - 1) for name, share in tags}
+    places = sorted({i for pos in at.values() for i in (math.floor(pos), math.ceil(pos))})
+    drawn = F.sort_array(F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), lambda b: draw_rank(F.col("_key"), b, n, seed)))
+    wanted = (preds.select(F.col(row_key).alias("_key")).where(F.col("_key").isNotNull()).distinct().withColumn("_drawn", drawn)
+              .select("_key", F.inline(F.array(*[F.struct(F.lit(i).alias("_place"), F.col("_drawn")[i].alias("_rank")) for i in places]))))
+    found = (wanted.join(numbered, "_rank").groupBy("_key")
+             .agg(*[F.max(F.when(F.col("_place") == i, F.col("_res"))).alias(f"_at{i}") for i in places]))
+    bounds = {}
+    for name, pos in at.items():
+        low, high = F.col(f"_at{math.floor(pos)}"), F.col(f"_at{math.ceil(pos)}")
+        bounds[name] = low + (high - low) * F.lit(pos - math.floor(pos))
+    offsets = found.select("_key", *[e.alias(f"_off_{name}") for name, e in bounds.items()])
+    out = preds.join(offsets, F.col(row_key) == F.col("_key"), "left").drop("_key")
+    return out.withColumns({name: F.col(p) + F.col(f"_off_{name}") for name in bounds}).drop(*[f"_off_{name}" for name in bounds])
+
+
 # -- A20, A21, A22 ----------------------------------------------------------------
 def to_long(df: DataFrame, features: list[str], split_col: str = "split") -> DataFrame:
     """(feature, split, value) rows for the numeric features, NULLs dropped."""

@@ -1,4 +1,4 @@
-"""Winsorising, scaling and PCA fitted on train.
+"""Winsorising, scaling, PCA and quantile maps fitted on train.
 
 Bounds and centre/scale values come from one aggregation over the training
 rows and are applied as column expressions (literals), so the transform is a
@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import normal_quantile
 from .columns import q, wide_agg
 from .quantiles import column_quantiles
 
@@ -74,6 +75,77 @@ def apply_scaler(df: DataFrame, fit: FittedScaler) -> DataFrame:
     return df.withColumns(new) if new else df
 
 
+@dataclass
+class QuantileMap:
+    """Quantiles of a training column: distinct values, each with the first and
+    the last of the evenly spaced references it stands at."""
+
+    col: str
+    values: list[float] = field(default_factory=list)
+    first: list[float] = field(default_factory=list)
+    last: list[float] = field(default_factory=list)
+
+
+#: uniform values are kept this far from 0 and 1 before they become normal
+EDGE = 1e-7
+
+
+def fit_quantile_map(train: DataFrame, column: str, n_quantiles: int = 1000) -> QuantileMap:
+    """Exact quantiles at ``n_quantiles`` (at most the rows there are, at least
+    two) even steps; NULL, NaN and infinite values take no part.  Without any
+    value the map is empty."""
+    v = q(column).cast("double")
+    rows = train.select(v.alias("_qv")).where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
+    n = max(min(n_quantiles, rows.count()), 2)
+    refs = [i / (n - 1) for i in range(n)]
+    fit = QuantileMap(column)
+    for ref, value in zip(refs, column_quantiles(rows, ["_qv"], refs)["_qv"]):
+        if value is None:
+            break
+        if not fit.values or value > fit.values[-1]:
+            fit.values.append(value)
+            fit.first.append(ref)
+            fit.last.append(ref)
+        else:
+            fit.last[-1] = ref
+    return fit
+
+
+def apply_quantile_map(df: DataFrame, fit: QuantileMap, out_col: str, output: str = "uniform") -> DataFrame:
+    """Place of a value among the training quantiles, 0 to 1, linear between two
+    of them; a value at several references takes their middle, the least and
+    the greatest one (and all beyond) 0 and 1.  ``output='normal'`` gives the
+    normal quantile of it, ends moved in by ``EDGE``.  NULL and NaN stay NULL, as does
+    everything under an empty map.  The quantile is found by binary search
+    (``Bucketizer``), the map is a literal of at most ``n_quantiles`` entries."""
+    from pyspark.ml.feature import Bucketizer
+    if output not in ("uniform", "normal"):
+        raise ValueError(f"no such output distribution: {output}")
+    if not fit.values:
+        return df.withColumn(out_col, F.lit(None).cast("double"))
+    v = q(fit.col).cast("double")
+    rows = df.withColumn("_qm_v", F.nanvl(v, F.lit(None).cast("double")))
+    inf = float("inf")
+    rows = Bucketizer(splits=[-inf, *fit.values, inf], inputCol="_qm_v", outputCol="_qm_b", handleInvalid="keep").transform(rows)
+    # bucket b starts at quantile b - 1, which is entry b of a list counted from 1
+    b, top = F.col("_qm_b").cast("int"), len(fit.values)
+
+    def at(values, i):
+        return F.get(F.lit([float(x) for x in values]), i)
+
+    here, low, high = at(fit.values, b - 1), at(fit.first, b - 1), at(fit.last, b - 1)
+    on_way = high + (F.col("_qm_v") - here) / (at(fit.values, b) - here) * (at(fit.first, b) - high)
+    place = (F.when(F.col("_qm_v").isNull(), None).when(F.col("_qm_v") <= fit.values[0], 0.0)
+             .when(F.col("_qm_v") >= fit.values[top - 1], 1.0)
+             .when(F.col("_qm_v") == here, (low + high) / 2).otherwise(on_way))
+    # columns of their own: an expression used many times is not written out again inside the next one
+    rows = rows.withColumn("_qm_p", place)
+    if output == "normal":
+        rows = rows.withColumn("_qm_p", F.when(F.col("_qm_p").isNotNull(), F.least(F.greatest("_qm_p", F.lit(EDGE)), F.lit(1 - EDGE))))
+        rows = rows.withColumn("_qm_z", normal_quantile("_qm_p"))
+    return rows.withColumn(out_col, F.col("_qm_z" if output == "normal" else "_qm_p")).drop("_qm_v", "_qm_b", "_qm_p", "_qm_z")
+
+
 def fit_pca(train: DataFrame, cols: list[str], n_components: float | int = 0.95):
     """PCA on the (already scaled) columns with Spark ML (K4).
 

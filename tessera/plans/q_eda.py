@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..operators import eda
 from ..operators import outliers as ol
+from ..operators import scale
 from ..operators.quantiles import with_quantiles
 from .base import KEY_OUT, ORDER_KEY, sales, with_sales
 from .registry import register
@@ -278,3 +279,29 @@ def q_percent_rank(spark, sf_dir):
     """Rank-based uniform transform of the price (ties share a rank)."""
     s = sales(spark, sf_dir).select(*KEY_OUT, "l_extendedprice")
     return eda.percent_ranks(s, "l_extendedprice").select(*KEY_OUT, F.round("uniform", 10).alias("uniform"))
+
+
+@register("quantile_uniform", with_sales(f"""
+, q AS (SELECT quantile_cont(l_extendedprice, [{", ".join(f"{i}/999.0::DOUBLE" for i in range(1000))}]) AS q FROM sales WHERE year < 2000),
+at AS (SELECT unnest(q) AS v, generate_subscripts(q, 1) - 1 AS i FROM q),
+kn AS (SELECT v, min(i) / 999.0::DOUBLE AS low, max(i) / 999.0::DOUBLE AS high FROM at GROUP BY v),
+seg AS (SELECT *, lead(v) OVER (ORDER BY v) AS nv, lead(low) OVER (ORDER BY v) AS nlow FROM kn),
+ends AS (SELECT min(v) AS v0, max(v) AS v1 FROM kn)
+SELECT {KEYS_SQL}, round(CASE WHEN l_extendedprice <= v0 THEN 0.0 WHEN l_extendedprice >= v1 THEN 1.0
+         WHEN l_extendedprice = v THEN (low + high) / 2 ELSE high + (l_extendedprice - v) / (nv - v) * (nlow - high) END, 8) AS uniform
+FROM sales ASOF LEFT JOIN seg ON l_extendedprice >= seg.v, ends"""))
+def q_quantile_uniform(spark, sf_dir):
+    """The target on its place among 1,000 quantiles of the training rows."""
+    s = sales(spark, sf_dir)
+    fit = scale.fit_quantile_map(s.where(F.col("year") < 2000), "l_extendedprice")
+    return scale.apply_quantile_map(s, fit, "uniform").select(*KEY_OUT, F.round("uniform", 8).alias("uniform"))
+
+
+@register("quantile_normal")
+def q_quantile_normal(spark, sf_dir):
+    """W10 + A36: the target made normal by its quantiles; moments by split."""
+    s = sales(spark, sf_dir)
+    fit = scale.fit_quantile_map(s.where(F.col("year") < 2000), "l_extendedprice")
+    z = scale.apply_quantile_map(s, fit, "z", "normal").withColumn("split", F.when(F.col("year") < 2000, "train").otherwise("test"))
+    return z.groupBy("split").agg(F.count("z").alias("n"), *[F.round(f("z"), 6).alias(c) for c, f in (
+        ("mean", F.avg), ("std", F.stddev_pop), ("skew", F.skewness), ("kurtosis", F.kurtosis), ("least", F.min), ("greatest", F.max))])

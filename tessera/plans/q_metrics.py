@@ -234,6 +234,47 @@ def q_prediction_intervals(spark, sf_dir):
     return a.join(b, "_k").drop("_k")
 
 
+_M = dg.DRAW_MOD
+_BOOT_CTE = f"""
+, t AS (SELECT *, l_orderkey * 8 + l_linenumber AS rid FROM preds WHERE model = 'brand_rate'),
+res AS (SELECT y_true - y_pred AS r, row_number() OVER (ORDER BY y_true - y_pred) - 1 AS rank
+        FROM t WHERE split = 'train' AND y_true - y_pred IS NOT NULL),
+nn AS (SELECT count(*) AS n FROM res),
+d0 AS (SELECT rid, rid % {_M} AS m, b FROM (SELECT DISTINCT rid FROM t WHERE split = 'test'), range(100) g(b)),
+d1 AS (SELECT *, (m * 48271 + (b + 1) * 69621 + 42) % {_M} AS a FROM d0),
+d2 AS (SELECT *, (((a * a + 12345) % {_M}) * 48271 + m) % {_M} AS c FROM d1),
+d3 AS (SELECT rid, CAST(floor(((c * c + a) % {_M}) / {_M}.0::DOUBLE * n::DOUBLE) AS BIGINT) AS rank FROM d2, nn),
+off AS (SELECT rid, quantile_cont(r, [0.1, 0.9, 0.05, 0.95]) AS q FROM d3 JOIN res USING (rank) GROUP BY rid),
+iv AS (SELECT t.*, y_pred + q[1] AS lo_80, y_pred + q[2] AS hi_80, y_pred + q[3] AS lo_90, y_pred + q[4] AS hi_90
+       FROM t LEFT JOIN off USING (rid) WHERE split = 'test')"""
+
+
+def _bootstrapped(spark, sf_dir):
+    p = (predictions(spark, sf_dir).where(F.col("model") == "brand_rate")
+         .withColumn("rid", F.col("l_orderkey") * 8 + F.col("l_linenumber")))
+    return dg.bootstrap_intervals(p.where(F.col("split") == "train"), p.where(F.col("split") == "test"), "rid", KEY_OUT)
+
+
+@register("bootstrap_intervals", pred_sql(_BOOT_CTE + f"""
+SELECT {KEYS_SQL}, round(lo_80, 2) AS lo_80, round(hi_80, 2) AS hi_80, round(lo_90, 2) AS lo_90, round(hi_90, 2) AS hi_90 FROM iv"""))
+def q_bootstrap_intervals(spark, sf_dir):
+    """80 % and 90 % intervals of every test row from 100 drawn training residuals."""
+    return _bootstrapped(spark, sf_dir).select(*KEY_OUT, *[rnd(c, 2).alias(c) for c in ("lo_80", "hi_80", "lo_90", "hi_90")])
+
+
+@register("bootstrap_coverage", pred_sql(_BOOT_CTE + """
+, l AS (SELECT 80 AS level, y_true, y_pred, lo_80 AS lo, hi_80 AS hi FROM iv UNION ALL SELECT 90, y_true, y_pred, lo_90, hi_90 FROM iv)
+SELECT level, round(avg(CASE WHEN y_true >= lo AND y_true <= hi THEN 1.0 ELSE 0.0 END), 8) AS coverage,
+       round(avg(hi - lo), 2) AS width, round(avg(100 * (hi - lo) / (y_pred + 1e-8)), 4) AS width_pct FROM l GROUP BY level"""))
+def q_bootstrap_coverage(spark, sf_dir):
+    """L8 + A24: coverage and width of the bootstrap intervals by level."""
+    iv = _bootstrapped(spark, sf_dir)
+    levels = F.array(*[F.struct(F.lit(lv).alias("level"), F.col(f"lo_{lv}").alias("lo"), F.col(f"hi_{lv}").alias("hi")) for lv in (80, 90)])
+    out = mt.interval_quality(iv.select("y_true", "y_pred", F.inline(levels)), "lo", "hi", by=["level"])
+    return out.select("level", F.round("coverage", 8).alias("coverage"), F.round("mean_width", 2).alias("width"),
+                      F.round("mean_width_pct", 4).alias("width_pct"))
+
+
 @register("smearing_factor", pred_sql("""
 SELECT model, round(avg(exp(ln(1 + y_true) - ln(1 + y_pred))), 8) AS smearing
 FROM preds WHERE split = 'train' AND y_pred IS NOT NULL GROUP BY model"""))
