@@ -66,15 +66,16 @@ def _narrowed(d: DataFrame, keys: list[str], wide: DataFrame, first: bool) -> Da
 
 
 def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                      names: list[str] | None = None) -> DataFrame:
-    """One row per group (NULL and NaN values ignored) with one column per quantile."""
+                      names: list[str] | None = None, as_list: str | None = None) -> DataFrame:
+    """One row per group (NULL and NaN values ignored) with one column per
+    quantile, or with all of them in the array column ``as_list`` (for many)."""
     names = names or [f"q{int(round(p * 100))}" for p in probs]
     if not keys:
-        return grouped_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, names).drop("_all")
+        return grouped_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, names, as_list).drop("_all")
     d = df.select(*keys, F.col(value).cast("double").alias("_bq_v")).where(F.col("_bq_v").isNotNull() & ~F.isnan("_bq_v"))
     group = [f"_bq_k{i}" for i in range(len(keys))]
-    h = [F.lit(float(p)) * (F.col("_bq_n") - 1) for p in probs]
-    ranks = F.array_distinct(F.array(*[f(x) for x in h for f in (F.floor, F.ceil)]))
+    places = F.transform(F.lit([float(p) for p in probs]), lambda p: p * (F.col("_bq_n") - 1))
+    ranks = F.array_distinct(F.flatten(F.transform(places, lambda x: F.array(F.floor(x), F.ceil(x)))))
     brackets = keep_cached(
         d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bq_n"), F.min("_bq_v").alias("_bq_lo"), F.max("_bq_v").alias("_bq_hi"))
         .select(*[F.col(c).alias(g) for c, g in zip(keys, group, strict=True)], "_bq_n", "_bq_lo", "_bq_hi",
@@ -98,7 +99,10 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
         a, z = F.col("_bq_m")[F.floor(x)], F.col("_bq_m")[F.ceil(x)]
         return F.when(a == z, a).otherwise(a + (x - F.floor(x)) * (z - a))
 
-    return found.select(*[F.col(g).alias(c) for c, g in zip(keys, group, strict=True)], *[at(x).alias(n) for x, n in zip(h, names, strict=True)])
+    out = [F.col(g).alias(c) for c, g in zip(keys, group, strict=True)]
+    if as_list:
+        return found.select(*out, F.transform(places, at).alias(as_list))
+    return found.select(*out, *[at(F.lit(float(p)) * (F.col("_bq_n") - 1)).alias(n) for p, n in zip(probs, names, strict=True)])
 
 
 def group_key(cols: list[str]):
@@ -108,10 +112,10 @@ def group_key(cols: list[str]):
 
 
 def long_quantiles(df: DataFrame, specs: list[tuple[list[str], str]], probs: list[float],
-                   names: list[str] | None = None) -> DataFrame:
+                   names: list[str] | None = None, as_list: str | None = None) -> DataFrame:
     """Quantiles for several (grouping columns, value column) specs in ONE
     pass.  Rows are stacked as (spec id, group key text, value) in one scan;
-    the result has ``_spec``, ``_key`` and one column per quantile."""
+    the result has ``_spec``, ``_key`` and one column per quantile (or ``as_list``)."""
     stacked = []
     for s_id, (cols, value) in enumerate(specs):
         whole = F.lit(True)
@@ -120,7 +124,7 @@ def long_quantiles(df: DataFrame, specs: list[tuple[list[str], str]], probs: lis
         stacked.append(F.struct(F.lit(s_id).alias("_spec"), group_key(cols).alias("_key"),
                                 F.when(whole, F.col(value).cast("double")).alias("_val")))
     long = df.select(F.inline(F.array(*stacked)))  # one scan, whatever the number of specs
-    return grouped_quantiles(long, ["_spec", "_key"], "_val", probs, names)
+    return grouped_quantiles(long, ["_spec", "_key"], "_val", probs, names, as_list)
 
 
 def column_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
@@ -128,9 +132,8 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict
     driver receives one small row per column."""
     if not cols:
         return {}
-    names = [f"_p{i}" for i in range(len(probs))]
-    rows = long_quantiles(df, [([], c) for c in cols], probs, names).collect()
-    got = {r["_spec"]: [r[n] for n in names] for r in rows}
+    rows = long_quantiles(df, [([], c) for c in cols], probs, as_list="_list").collect()
+    got = {r["_spec"]: list(r["_list"]) for r in rows}
     return {c: got.get(i, [None] * len(probs)) for i, c in enumerate(cols)}
 
 

@@ -283,8 +283,8 @@ def q_percent_rank(spark, sf_dir):
 
 @register("quantile_uniform", with_sales(f"""
 , q AS (SELECT quantile_cont(l_extendedprice, [{", ".join(f"{i}/999.0::DOUBLE" for i in range(1000))}]) AS q FROM sales WHERE year < 2000),
-at AS (SELECT unnest(q) AS v, generate_subscripts(q, 1) - 1 AS i FROM q),
-kn AS (SELECT v, min(i) / 999.0::DOUBLE AS low, max(i) / 999.0::DOUBLE AS high FROM at GROUP BY v),
+step AS (SELECT unnest(q) AS v, generate_subscripts(q, 1) - 1 AS i FROM q),
+kn AS (SELECT v, min(i) / 999.0::DOUBLE AS low, max(i) / 999.0::DOUBLE AS high FROM step GROUP BY v),
 seg AS (SELECT *, lead(v) OVER (ORDER BY v) AS nv, lead(low) OVER (ORDER BY v) AS nlow FROM kn),
 ends AS (SELECT min(v) AS v0, max(v) AS v1 FROM kn)
 SELECT {KEYS_SQL}, round(CASE WHEN l_extendedprice <= v0 THEN 0.0 WHEN l_extendedprice >= v1 THEN 1.0
