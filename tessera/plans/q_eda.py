@@ -305,3 +305,40 @@ def q_quantile_normal(spark, sf_dir):
     z = scale.apply_quantile_map(s, fit, "z", "normal").withColumn("split", F.when(F.col("year") < 2000, "train").otherwise("test"))
     return z.groupBy("split").agg(F.count("z").alias("n"), *[F.round(f("z"), 6).alias(c) for c, f in (
         ("mean", F.avg), ("std", F.stddev_pop), ("skew", F.skewness), ("kurtosis", F.kurtosis), ("least", F.min), ("greatest", F.max))])
+
+
+_PHI_UPPER = """exp(-z * z / 2) / sqrt(2 * pi()) * (1 / (1 + 0.2316419 * z)) * (0.319381530 + (1 / (1 + 0.2316419 * z)) * (-0.356563782
+  + (1 / (1 + 0.2316419 * z)) * (1.781477937 + (1 / (1 + 0.2316419 * z)) * (-1.821255978 + (1 / (1 + 0.2316419 * z)) * 1.330274429))))"""
+
+
+@register("normality_pvalues", with_sales(f"""
+, t AS (SELECT segment, 'raw' AS transform, l_extendedprice AS v FROM sales
+        UNION ALL SELECT segment, 'log1p', ln(1 + l_extendedprice) FROM sales
+        UNION ALL SELECT segment, 'sqrt', sqrt(l_extendedprice) FROM sales),
+m AS (SELECT segment, transform, avg(v) AS mu, stddev_samp(v) AS sd, count(*) AS n FROM t GROUP BY ALL),
+mo AS (SELECT segment, transform, avg(power(v - mu, 3)) / power(avg(power(v - mu, 2)), 1.5) AS skew,
+              avg(power(v - mu, 4)) / power(avg(power(v - mu, 2)), 2) - 3 AS kurtosis FROM t JOIN m USING (segment, transform) GROUP BY ALL),
+r AS (SELECT segment, transform, v, row_number() OVER (PARTITION BY segment, transform ORDER BY v)::DOUBLE AS i FROM t),
+u AS (SELECT r.*, n, abs((v - mu) / sd) AS z, v >= mu AS above FROM r JOIN m USING (segment, transform)),
+w AS (SELECT *, {_PHI_UPPER} AS tail FROM u),
+ph AS (SELECT *, CASE WHEN above THEN 1 - tail ELSE tail END AS lo, CASE WHEN above THEN tail ELSE 1 - tail END AS hi FROM w),
+f AS (SELECT segment, transform, max(n) AS n, max(greatest(i / n - lo, lo - (i - 1) / n)) AS d,
+             -max(n) - sum((2 * i - 1) * ln(lo) + (2 * (n + 1 - i) - 1) * ln(hi)) / max(n) AS ad FROM ph GROUP BY ALL),
+g AS (SELECT f.*, skew, kurtosis, f.n / 6.0 * (skew * skew + kurtosis * kurtosis / 4) AS jb,
+             (sqrt(f.n) + 0.12 + 0.11 / sqrt(f.n)) * d AS lam, ad * (1 + 0.75 / f.n + 2.25 / (f.n * f.n)) AS a
+      FROM f JOIN mo USING (segment, transform))
+SELECT segment, transform, n, round(d, 6) AS ks_stat, round(ad, 4) AS anderson_darling, round(jb, 4) AS jarque_bera,
+       round(CASE WHEN lam < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, 2 * list_sum(list_transform(range(1, 101),
+             lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * lam * lam))))) END, 6) AS ks_p,
+       round(exp(-jb / 2), 6) AS jb_p,
+       round(CASE WHEN a < 0.2 THEN 1 - exp(-13.436 + 101.14 * a - 223.73 * a * a) WHEN a < 0.34 THEN 1 - exp(-8.318 + 42.796 * a - 59.938 * a * a)
+             WHEN a < 0.6 THEN exp(0.9177 - 4.279 * a - 1.38 * a * a) WHEN a < 13 THEN exp(1.2937 - 5.709 * a + 0.0186 * a * a) ELSE 0.0 END, 6) AS ad_p,
+       round(abs(skew) + abs(kurtosis) + 1 - exp(-jb / 2), 6) AS score FROM g"""))
+def q_normality_pvalues(spark, sf_dir):
+    """Statistics, p-values and score of the price under three transforms, by segment."""
+    s = sales(spark, sf_dir).select("segment", F.col("l_extendedprice").alias("raw"), F.log1p("l_extendedprice").alias("log1p"),
+                                    F.sqrt("l_extendedprice").alias("sqrt"))
+    long = s.unpivot(["segment"], ["raw", "log1p", "sqrt"], "transform", "v")
+    digits = {"ks_stat": 6, "anderson_darling": 4, "jarque_bera": 4, "ks_p": 6, "jb_p": 6, "ad_p": 6, "score": 6}
+    return eda.normality_report(long, "v", ["segment", "transform"]).select(
+        "segment", "transform", "n", *[F.round(c, d).alias(c) for c, d in digits.items()])
