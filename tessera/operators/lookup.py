@@ -49,9 +49,11 @@ class StatsTable:
         """Size of the cached table as Spark measured it when it was filled."""
         return int(str(self.df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
+    def is_small(self, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+        return self.rows <= max_rows and self.est_bytes() <= MAX_BROADCAST_BYTES
+
     def joinable(self, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-        small = self.rows <= max_rows and self.est_bytes() <= MAX_BROADCAST_BYTES
-        return F.broadcast(self.df) if small else self.df
+        return F.broadcast(self.df) if self.is_small(max_rows) else self.df
 
 
 def fit_table(df: DataFrame, keys, drop_null_keys: bool = True) -> StatsTable:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .lookup import fit_table, keep_cached
+from .lookup import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, StatsTable, fit_table, keep_cached
 
 #: bins of a round; rows of a bracket that are ordered in one row
 BINS, EXACT = 4096, 100_000
@@ -52,12 +52,27 @@ def _bin(first: bool) -> Column:
     return F.when(v == lo, 0).when(v == hi, BINS - 1).otherwise(inner)
 
 
+def _wide() -> Column:
+    return (F.col("_bq_c") > EXACT) & (F.col("_bq_lo") < F.col("_bq_hi"))
+
+
+def _settle(brackets: DataFrame) -> tuple[StatsTable, bool]:
+    """Fill the cache of ``brackets``; its measured table, and whether some are still wide."""
+    brackets = keep_cached(brackets)
+    total, wide = brackets.agg(F.count(F.lit(1)), F.count_if(_wide())).first()
+    return StatsTable(brackets, total, ()), wide > 0
+
+
 def _narrowed(d: DataFrame, keys: list[str], wide: DataFrame, first: bool) -> DataFrame:
     """The brackets inside ``wide`` that hold its ranks."""
     group = [f"_bq_k{i}" for i in range(len(keys))]
-    counted = (d.join(wide, _in_bracket(keys)).groupBy(*group, "_bq_lo", _bin(first).alias("_bq_b"))
-               .agg(F.count(F.lit(1)).alias("_bq_c"), F.min("_bq_v").alias("_bq_mn"), F.max("_bq_v").alias("_bq_mx"),
-                    F.first("_bq_n").alias("_bq_n"), F.first("_bq_below").alias("_bq_below"), F.first("_bq_ranks").alias("_bq_ranks")))
+    # the list of ranks joins after the count: an array among the sums would make Spark sort the rows
+    counted = (d.join(wide.drop("_bq_ranks", "_bq_n", "_bq_below", "_bq_c"), _in_bracket(keys)).groupBy(*group, "_bq_lo", _bin(first).alias("_bq_b"))
+               .agg(F.count(F.lit(1)).alias("_bq_c"), F.min("_bq_v").alias("_bq_mn"), F.max("_bq_v").alias("_bq_mx")))
+    same = F.col("c._bq_lo") == F.col("w._bq_lo")
+    for g in group:
+        same = same & F.col(f"c.{g}").eqNullSafe(F.col(f"w.{g}"))
+    counted = counted.alias("c").join(wide.alias("w"), same).select("c.*", "w._bq_n", "w._bq_below", "w._bq_ranks")
     before = F.sum("_bq_c").over(Window.partitionBy(*group, "_bq_lo").orderBy("_bq_b")) - F.col("_bq_c")  # over at most BINS rows
     placed = counted.withColumn("_bq_below", F.col("_bq_below") + before)
     ranks = F.filter("_bq_ranks", lambda r: (r >= F.col("_bq_below")) & (r < F.col("_bq_below") + F.col("_bq_c")))
@@ -76,18 +91,22 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
     group = [f"_bq_k{i}" for i in range(len(keys))]
     places = F.transform(F.lit([float(p) for p in probs]), lambda p: p * (F.col("_bq_n") - 1))
     ranks = F.array_distinct(F.flatten(F.transform(places, lambda x: F.array(F.floor(x), F.ceil(x)))))
-    brackets = keep_cached(
+    table, more = _settle(
         d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bq_n"), F.min("_bq_v").alias("_bq_lo"), F.max("_bq_v").alias("_bq_hi"))
         .select(*[F.col(c).alias(g) for c, g in zip(keys, group, strict=True)], "_bq_n", "_bq_lo", "_bq_hi",
                 F.col("_bq_n").alias("_bq_c"), F.lit(0).cast("long").alias("_bq_below"), ranks.alias("_bq_ranks")))
-    wide = (F.col("_bq_c") > EXACT) & (F.col("_bq_lo") < F.col("_bq_hi"))
-    settled, first = brackets.where(~wide), True
-    while not brackets.where(wide).isEmpty():
-        brackets, first = keep_cached(_narrowed(d, keys, brackets.where(wide), first)), False
-        settled = settled.unionByName(brackets.where(~wide))
-    brackets = settled
+    tables = [table]
+    while more:  # rows meet brackets of a measured size: a broadcast below the bounds, else a shuffled join
+        wide = table.df.where(_wide())
+        table, more = _settle(_narrowed(d, keys, F.broadcast(wide) if table.is_small() else wide, len(tables) == 1))
+        tables.append(table)
+    brackets = tables[0].df.where(~_wide())
+    for t in tables[1:]:
+        brackets = brackets.unionByName(t.df.where(~_wide()))
+    small = sum(t.rows for t in tables) <= MAX_BROADCAST_ROWS and sum(t.est_bytes() for t in tables) <= MAX_BROADCAST_BYTES
     single = F.col("_bq_lo") == F.col("_bq_hi")
-    ordered = (d.join(brackets.where(~single), _in_bracket(keys)).groupBy(*group, "_bq_n", "_bq_lo")
+    several = brackets.where(~single)
+    ordered = (d.join(F.broadcast(several) if small else several, _in_bracket(keys)).groupBy(*group, "_bq_n", "_bq_lo")
                .agg(F.sort_array(F.collect_list("_bq_v")).alias("_bq_x"), F.first("_bq_below").alias("_bq_below"),
                     F.first("_bq_ranks").alias("_bq_ranks")))
     pick = F.transform("_bq_ranks", lambda r: F.struct(r, F.element_at("_bq_x", (r - F.col("_bq_below") + 1).cast("int"))))
