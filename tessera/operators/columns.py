@@ -320,6 +320,26 @@ def apply_downcast(df: DataFrame, plan: dict[str, str]) -> DataFrame:
 
 
 # P21, A25, A29 --------------------------------------------------------------
+def dataset_summary(df: DataFrame) -> DataFrame:
+    """One row for the table (A29): rows, columns by kind, missing values (NULL
+    or NaN) and their share of all cells in %, NULL for an empty table.  One
+    aggregation with a sum per column; the types come from the schema."""
+    kinds = [f.dataType for f in df.schema.fields]
+    numeric = sum(isinstance(t, T.NumericType) for t in kinds)
+    text = sum(isinstance(t, T.StringType) for t in kinds)
+    dated = sum(isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)) for t in kinds)
+    missing = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        absent = q(f.name).isNull()
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            absent = absent | F.isnan(q(f.name))
+        missing = missing + F.count_if(absent)
+    return (df.agg(F.count(F.lit(1)).alias("n_rows"), missing.alias("total_missing"))
+            .select("n_rows", F.lit(len(kinds)).cast("long").alias("n_columns"), F.lit(numeric).cast("long").alias("n_numeric"),
+                    F.lit(text).cast("long").alias("n_categorical"), F.lit(dated).cast("long").alias("n_datetime"), "total_missing",
+                    F.try_divide(F.col("total_missing") * 100.0, F.col("n_rows") * F.lit(len(kinds))).alias("missing_pct")))
+
+
 def column_profile(df: DataFrame) -> DataFrame:
     """One row per column: type, non-null count, NULL %, distinct count and
     the first non-null value (as text).  One aggregation, then unpivot."""

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .lookup import fit_table
+from .lookup import attach, fit_table
 from .quantiles import column_quantiles, grouped_quantiles, with_quantiles
 
 PSI_ALERT, PSI_HIGH = 0.15, 0.25
@@ -45,6 +45,31 @@ def residuals_by_group(df: DataFrame, group_col: str, y: str = "y_true", p: str
     return with_quantiles(agg, d.withColumn("_r", r), [*by, group_col], "_r", [0.5], ["residual_median"])
 
 
+def residuals_by_quartile(df: DataFrame, y: str = "y_true", p: str = "y_pred", by: list[str] = (), names=("Q1", "Q2", "Q3", "Q4")) -> DataFrame:
+    """Residual statistics per quartile of the truth (A19), quartiles taken
+    within ``by``: right-closed bands between exact edges, the least value
+    included.  Rows with a NULL or NaN truth or prediction take no part; groups
+    whose edges coincide have no four bands and give no rows."""
+    by = list(by)
+    ok = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in (y, p)]
+    rows = df.where(ok[0] & ok[1])
+    steps = range(len(names) + 1)
+    edges = [f"_qe{i}" for i in steps]
+    # NULL is a group like any other: the edges meet the rows by a key that is never NULL
+    keyed = rows.withColumn("_qk", F.to_json(F.struct(F.lit(0).alias("_"), *by)))
+    fitted = fit_table(grouped_quantiles(keyed, ["_qk"], y, [i / len(names) for i in steps], edges), ["_qk"])
+    distinct = F.size(F.array_distinct(F.array(*edges))) == len(edges)
+    banded = attach(keyed, fitted).where(distinct)
+    band = F.lit(names[-1])
+    for i in range(len(names) - 2, -1, -1):
+        band = F.when(F.col(y) <= F.col(edges[i + 1]), names[i]).otherwise(band)
+    out = residuals_by_group(banded.withColumn("quartile", band), "quartile", y, p, ["_qk"])
+    if not by:
+        return out.drop("_qk")
+    values = rows.select(*by).distinct().withColumn("_qk", F.to_json(F.struct(F.lit(0).alias("_"), *by)))
+    return out.join(values, "_qk").select(*by, *[c for c in out.columns if c != "_qk"])
+
+
 def worst_predictions(df: DataFrame, keys: list[str], n: int = 10, y: str = "y_true",
                       p: str = "y_pred") -> DataFrame:
     """Top-n rows by absolute residual, with the error in % of the truth.

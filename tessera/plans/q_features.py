@@ -568,6 +568,32 @@ def q_column_profile(spark, sf_dir):
     return prof.select("column", "non_null", "n_missing", "missing_pct", "n_distinct")
 
 
+_SUMMARY = {"documents": ["doc_id", "text", "lang", "source", "n_chars"], "labels": ["doc_id", "quality", "toxic"],
+            "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]}
+
+
+def _summary_sql():
+    def kind(name, types):
+        return (f"(SELECT count(*) FROM (DESCRIBE {name}) WHERE regexp_matches(column_type, '^({types})')) ")
+
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST({len(cols)} AS BIGINT) AS n_columns, "
+        f"{kind(t, 'TINYINT|SMALLINT|INTEGER|BIGINT|FLOAT|DOUBLE|DECIMAL')} AS n_numeric, {kind(t, 'VARCHAR')} AS n_categorical, "
+        f"{kind(t, 'DATE|TIMESTAMP')} AS n_datetime, CAST({' + '.join(f'(count(*) - count({c}))' for c in cols)} AS BIGINT) AS total_missing, "
+        f"round(({' + '.join(f'(count(*) - count({c}))' for c in cols)}) * 100.0::DOUBLE / (count(*) * {len(cols)}), 6) AS missing_pct FROM {t}"
+        for t, cols in _SUMMARY.items())
+
+
+@register("dataset_summary", _summary_sql())
+def q_dataset_summary(spark, sf_dir):
+    """Rows, columns by kind and missing cells of whole tables, one scan each."""
+    out = None
+    for name in _SUMMARY:
+        one = cl.dataset_summary(table(spark, sf_dir, name)).select(F.lit(name).alias("table_name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out.withColumn("missing_pct", F.round("missing_pct", 6))
+
+
 @register("downcast_plan", """
 WITH m AS (""" + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, min({c}) AS lo, max({c}) AS hi, max(CASE WHEN {c} <> floor({c}) THEN 1 ELSE 0 END) AS frac FROM lineitem"

@@ -161,6 +161,31 @@ def q_residuals_by_group(spark, sf_dir):
                       rnd("residual_median", 4).alias("residual_median"), "count")
 
 
+@register("residuals_by_price_quartile", pred_sql("""
+, ok AS (SELECT * FROM preds WHERE y_true IS NOT NULL AND y_pred IS NOT NULL),
+edges AS (SELECT model, split, quantile_cont(y_true, 0.25) AS e1, quantile_cont(y_true, 0.5) AS e2, quantile_cont(y_true, 0.75) AS e3
+          FROM ok GROUP BY model, split)
+SELECT ok.model, ok.split, CASE WHEN y_true <= e1 THEN 'Q1' WHEN y_true <= e2 THEN 'Q2' WHEN y_true <= e3 THEN 'Q3' ELSE 'Q4' END AS quartile,
+       round(avg(y_true - y_pred), 4) AS residual_mean, round(stddev_samp(y_true - y_pred), 3) AS residual_std,
+       round(median(y_true - y_pred), 4) AS residual_median, count(*) AS count
+FROM ok JOIN edges ON ok.model = edges.model AND ok.split = edges.split GROUP BY ok.model, ok.split, quartile"""))
+def q_residuals_by_price_quartile(spark, sf_dir):
+    """Residual statistics per quartile of the price, model and split."""
+    out = dg.residuals_by_quartile(predictions(spark, sf_dir), by=["model", "split"])
+    return out.select("model", "split", "quartile", rnd("residual_mean", 4).alias("residual_mean"),
+                      rnd("residual_std", 3).alias("residual_std"), rnd("residual_median", 4).alias("residual_median"), "count")
+
+
+@register("floored_mape", pred_sql("""
+SELECT model, split, round(avg(abs(y_true - y_pred) / greatest(abs(y_true), 20000)), 8) AS mape, count(*) AS count
+FROM preds WHERE y_true IS NOT NULL AND y_pred IS NOT NULL GROUP BY model, split"""))
+def q_floored_mape(spark, sf_dir):
+    """Percentage error with prices under 20,000 counted as 20,000."""
+    p = predictions(spark, sf_dir).dropna(subset=["y_true", "y_pred"])
+    out = p.groupBy("model", "split").agg(*mt.metric_aggs(mape_floor=20_000, exact=False))
+    return out.select("model", "split", rnd("mape", 8).alias("mape"), "count")
+
+
 @register("worst_predictions", pred_sql(f"""
 SELECT {KEYS_SQL}, y_true, round(y_pred, 4) AS y_pred, round(y_true - y_pred, 4) AS residual,
        round(100 * abs(y_true - y_pred) / abs(y_true), 6) AS pct_error
