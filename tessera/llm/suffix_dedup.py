@@ -196,6 +196,14 @@ def scan(rows: DataFrame, length: int, seed: int) -> DataFrame:
                        f"id {id_type}, sha string, n long, place array<int>, seed array<long>", make)
 
 
+def repeated_seeds(spots: DataFrame) -> DataFrame:
+    """(seed, salt) of the seeds that occur more than once, for the salts they
+    occur under: a seed that a third of all anchors share is joined in SALTS tasks."""
+    parts = spots.groupBy("seed", "salt").agg(F.count("*").alias("c"))
+    seeds = parts.groupBy("seed").agg(F.sum("c").alias("c"), F.collect_list("salt").alias("salts"))  # SALTS at most
+    return seeds.where("c > 1").select("seed", F.explode("salts").alias("salt"))
+
+
 def texts_of(wanted: DataFrame, rows: DataFrame) -> DataFrame:
     """(node, t, places): texts of the wanted nodes (node, rep, sha, places).
 
@@ -304,9 +312,9 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nodes = cut(seen.groupBy("sha").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"),
                                         F.first("place").alias("place"), F.first("seed").alias("seed"))
                 .withColumn("node", F.monotonically_increasing_id()), "suffix-nodes")
-    spots = nodes.select("node", F.explode(F.arrays_zip("place", "seed")).alias("z")).select("node", "z.place", "z.seed")
-    again = spots.groupBy("seed").count().where("count > 1").select("seed")
-    places = spots.join(again, "seed").groupBy("node").agg(F.collect_list("place").alias("places"))
+    spots = nodes.select("node", F.explode(F.arrays_zip("place", "seed")).alias("z")).select(
+        "node", "z.place", "z.seed", F.pmod("node", F.lit(SALTS)).alias("salt"))
+    places = spots.join(repeated_seeds(spots), ["seed", "salt"]).groupBy("node").agg(F.collect_list("place").alias("places"))
     texts = cut(texts_of(nodes.join(places, "node").select("node", "rep", "sha", "places"), rows), "suffix-texts")
     groups = cut(group_rows(texts, length, seed, group), "suffix-groups")
     classes = cut(groups.groupBy("core", "full1", "full2").agg(F.count("*").alias("size"), F.min(F.struct("node", "low", "high")).alias("one")),

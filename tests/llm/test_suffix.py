@@ -90,3 +90,17 @@ def test_query_by_brute_force(spark, sf):
     sf_dir = f"/root/testdata/{sf}"
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     check(QUERIES["op6_suffix_dedup"](spark, sf_dir).collect(), docs)
+
+
+def test_a_hot_seed_is_joined_under_its_salts(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.llm import suffix_dedup as sd
+    spots = spark.range(1000).select(F.col("id").alias("node"), F.lit(0).alias("place"),
+                                     F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 100).alias("seed"),
+                                     F.pmod("id", F.lit(sd.SALTS)).alias("salt"))
+    spots = spots.union(spots.where("node = 1"))  # twice in one text, under one salt
+    got = {(r.seed, r.salt) for r in sd.repeated_seeds(spots).collect()}
+    assert got == {(7, k) for k in range(sd.SALTS)} | {(101, 1)}
+    kept = spots.join(sd.repeated_seeds(spots), ["seed", "salt"])
+    assert kept.count() == 334 + 2
