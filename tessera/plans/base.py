@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_table
 from ..sources.tables import table
 
 ORDER_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
@@ -32,12 +33,12 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = table(spark, sf_dir, "region")
     p = table(spark, sf_dir, "part")
     c = table(spark, sf_dir, "customer")
-    df = (li.join(o, li.l_orderkey == o.o_orderkey)
-          .join(s, li.l_suppkey == s.s_suppkey)
+    # orders meet their customers before the lineitems: one shuffle of the longest table less
+    df = (li.join(s, li.l_suppkey == s.s_suppkey)
           .join(n, s.s_nationkey == n.n_nationkey)
           .join(r, n.n_regionkey == r.r_regionkey)
           .join(p, li.l_partkey == p.p_partkey)
-          .join(c, o.o_custkey == c.c_custkey))
+          .join(o.join(c, o.o_custkey == c.c_custkey), li.l_orderkey == o.o_orderkey))
     return df.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         F.col("l_quantity"), F.col("l_extendedprice"), "l_discount", "l_tax",
@@ -50,6 +51,15 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("segment"), "c_acctbal", "s_name", "s_acctbal")
 
 
+def cut(df: DataFrame, *cols: str, deal: tuple = ()) -> DataFrame:
+    """The columns of ``df`` that a query's passes read (all without names),
+    written once: each pass over the join chain itself would shuffle the sales
+    rows again.  ``deal`` names key columns to spread the rows by, for queries
+    whose work a row outweighs a shuffle."""
+    rows = df.select(*dict.fromkeys(cols)) if cols else df
+    return cut_table(rows.repartition(*deal) if deal else rows, "sales")[0]
+
+
 SALES_SQL = """
 SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber,
        l.l_quantity, l.l_extendedprice, l.l_discount, l.l_tax,

@@ -7,7 +7,7 @@ from ..operators import eda
 from ..operators import outliers as ol
 from ..operators import scale
 from ..operators.quantiles import with_quantiles
-from .base import KEY_OUT, ORDER_KEY, sales, with_sales
+from .base import KEY_OUT, ORDER_KEY, cut, sales, with_sales
 from .registry import register
 
 KEYS_SQL = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
@@ -102,7 +102,7 @@ SELECT statistic, round(raw, 6) AS raw, round(filtered, 6) AS filtered, round(fi
 def q_raw_vs_filtered(spark, sf_dir):
     """Eight statistics of the price before/after a filter, with deltas
     (sample-corrected skewness and kurtosis)."""
-    s = sales(spark, sf_dir)
+    s = cut(sales(spark, sf_dir), "l_extendedprice", "year", "l_quantity")
     c = eda.compare_stats(s, s.where(F.expr(_FILTERED)), "l_extendedprice")
     return c.select("statistic", *[F.round(x, 6).alias(x) for x in ("raw", "filtered", "delta", "delta_pct")])
 
@@ -154,7 +154,7 @@ def q_normality_tests(spark, sf_dir):
 
 
 def _outlier_flags(spark, sf_dir):
-    s = sales(spark, sf_dir).select(*KEY_OUT, "l_extendedprice")
+    s = cut(sales(spark, sf_dir), "l_extendedprice")
     s = ol.flag_inliers(s, "l_extendedprice", "iqr", out_col="iqr_in")
     s = ol.flag_inliers(s, "l_extendedprice", "zscore", z_thresh=3.0, out_col="z_in")
     s = ol.modified_zscore_inliers(s, "l_extendedprice", out_col="mz_in")
@@ -209,7 +209,7 @@ def q_outlier_ensemble(spark, sf_dir):
     fence and z-score agree they settle the vote; ``vote_breaks`` counts rows
     whose vote is not that of two of the flags; the forest's share of outliers
     is at most the contamination."""
-    s = sales(spark, sf_dir).select(*KEY_OUT, "segment", "l_extendedprice")
+    s = cut(sales(spark, sf_dir), *KEY_OUT, "segment", "l_extendedprice")
     out = ol.ensemble_inliers(s, "l_extendedprice", "segment", iqr_factor=0.75, z_thresh=2.0, contamination=0.05,
                               n_trees=50, id_cols=KEY_OUT)
     i, z, f, kept = (F.col(c) for c in ("in_iqr", "in_z", "in_iso", "is_inlier"))
