@@ -20,7 +20,7 @@ from ..operators import scale as sc
 from ..operators.impute import fit_imputer, transform_imputer
 from ..operators.target import TargetTransform, fit_target_transform
 from ..sources.tables import table
-from .base import KEY_OUT, ORDER_KEY, sales, with_sales
+from .base import KEY_OUT, ORDER_KEY, cut, sales, with_sales
 from .registry import register
 
 KEYS_SQL = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
@@ -301,7 +301,7 @@ def q_target_transforms(spark, sf_dir):
 def q_target_transform_fit(spark, sf_dir):
     """M3, M5, M7: Box-Cox / Yeo-Johnson lambda fitted by likelihood on train,
     applied to all rows with the train parameters; summary per split."""
-    df = prep(spark, sf_dir)
+    df = cut(prep(spark, sf_dir), "l_extendedprice", "year")
     tr = _train(df)
     bc = fit_target_transform(tr, "l_extendedprice", "boxcox")
     yj = fit_target_transform(tr, "l_extendedprice", "yeojohnson")
@@ -342,7 +342,7 @@ FROM f""")
 def q_outliers_grouped(spark, sf_dir):
     """O1 IQR and O2 z-score per zone with O5 small-group handling and NULL
     groups removed, O6 modified z-score, O4 majority vote and O7 union."""
-    df = prep(spark, sf_dir)
+    df = cut(prep(spark, sf_dir), *KEY_OUT, "zone_n", "price_n")
     df = ol.flag_inliers(df, "price_n", "iqr", "zone_n", min_group_size=400, fallback="skip",
                          out_col="iqr_in")
     df = ol.flag_inliers(df, "price_n", "zscore", "zone_n", min_group_size=400, fallback="skip",
@@ -367,7 +367,7 @@ FROM r GROUP BY zone_n"""))
 def q_outliers_global_fallback(spark, sf_dir):
     """O5 with ``fallback='global'``: zones under the minimum size use the
     global IQR fence."""
-    df = ol.flag_inliers(prep(spark, sf_dir), "price_n", "iqr", "zone_n", min_group_size=2500,
+    df = ol.flag_inliers(cut(prep(spark, sf_dir), "zone_n", "price_n"), "price_n", "iqr", "zone_n", min_group_size=2500,
                          fallback="global")
     return df.groupBy("zone_n").agg(F.count(F.lit(1)).alias("n_rows"),
                                     F.sum(F.col("is_inlier").cast("long")).alias("n_inliers"))
@@ -400,7 +400,7 @@ FROM prep p LEFT JOIN gm ON p.zone_n = gm.zone_n LEFT JOIN gmode ON p.zone_n = g
 def q_imputation_grouped(spark, sf_dir):
     """A8 + I1: per-zone median / mode fitted on train, per-row fallback to
     the global value for NULL or unseen zones (I2)."""
-    df = prep(spark, sf_dir)
+    df = cut(prep(spark, sf_dir), *KEY_OUT, "year", "zone_n", "surface_n", "segment_n")
     fit = fit_imputer(_train(df), "median", group_col="zone_n", numeric_cols=["surface_n"],
                       categorical_cols=["segment_n"])
     return transform_imputer(df, fit).select(*KEY_OUT, "surface_n", "segment_n")
@@ -502,7 +502,7 @@ FROM prep, w"""))
 def q_winsor_scale(spark, sf_dir):
     """A12 + K1 winsorising at train 1 %/99 %, K2 standard scaling with the
     population std, K3 robust scaling (median, IQR)."""
-    df = prep(spark, sf_dir)
+    df = cut(prep(spark, sf_dir), *KEY_OUT, "year", "l_extendedprice", "l_quantity", "l_discount")
     tr = _train(df)
     bounds = sc.fit_winsor(tr, ["l_extendedprice"], 0.01, 0.99)
     std = sc.fit_scaler(tr, ["l_quantity"], "standard")
