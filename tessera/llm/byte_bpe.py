@@ -27,6 +27,8 @@ from .common import map_batches, one, text_of
 
 #: pieces kept per Python worker; then the memory is cleared
 CACHE_PIECES = 700_000
+#: matches without a space before them, likewise
+CACHE_STARTS = 50_000
 
 
 class ByteBPE:
@@ -45,7 +47,11 @@ class ByteBPE:
         for token, r in self.ranks.items():
             if len(token) == 2:
                 self.first[token[0] << 8 | token[1]] = r
+        #: id of every single byte, or None
+        self.single = [self.ranks.get(bytes([b])) for b in range(256)]
         self.pieces = _Pieces(self)
+        #: ids of matches that no space precedes: marks, and words that begin a line
+        self.starts = _Starts(self)
 
     # ------------------------------------------------------------- encoding
     def encode_word(self, piece: bytes) -> list[int]:
@@ -64,15 +70,17 @@ class ByteBPE:
         get, low, mid, first, n = ranks.get, self.low, self.mid, self.first, len(piece)
         push, pop = heapq.heappush, heapq.heappop
         after, before = list(range(1, n + 2)), list(range(-1, n))  # after[i]: end of the span at i
-        dead = bytearray(n + 1)
+        token = [self.single[a] for a in piece]  # token[i]: id of the span at i
+        #: rank of the pair that begins at i, or -1; a position popped with another rank is stale
+        pair = [first[a << 8 | b] for a, b in zip(piece, piece[1:])]
+        pair.append(-1)
         bucket: dict[int, list[int]] = {}
         top = 0
         # entering a pair is written out in its three places: a call would cost as much as the step
-        for i, (a, b) in enumerate(zip(piece, piece[1:])):
-            r = first[a << 8 | b]
+        for i, r in enumerate(pair):
             if r >= 0:
                 if r in bucket:
-                    push(bucket[r], i)
+                    bucket[r].append(i)  # positions come in order: the list is a heap
                 else:
                     bucket[r] = [i]
                     w = r >> 6
@@ -91,8 +99,10 @@ class ByteBPE:
             x = low[w]
             rank = w << 6 | (x & -x).bit_length() - 1
             waiting = bucket[rank]
-            i = pop(waiting)
-            if not waiting:
+            if len(waiting) > 1:
+                i = pop(waiting)
+            else:
+                i = waiting[0]
                 del bucket[rank]
                 low[w] = x = x & (x - 1)
                 if not x:
@@ -100,20 +110,20 @@ class ByteBPE:
                     mid[m] = x = x & (x - 1)
                     if not x:
                         top &= top - 1
-            if dead[i]:
-                continue
+            if pair[i] != rank:
+                continue  # stale: the pair at i has changed or is gone
             j = after[i]
-            if j >= n:
-                continue
             k = after[j]
-            if get(piece[i:k]) != rank:
-                continue  # stale: the pair at i has changed
-            dead[j] = 1
+            token[i] = rank
+            pair[j] = -1
             after[i] = k
             if k < n:
                 before[k] = i
                 r = get(piece[i:after[k]])
-                if r is not None:
+                if r is None:
+                    pair[i] = -1
+                else:
+                    pair[i] = r
                     if r in bucket:
                         push(bucket[r], i)
                     else:
@@ -127,10 +137,15 @@ class ByteBPE:
                             mid[m] = x | 1 << (w & 63)
                             if not x:
                                 top |= 1 << m
+            else:
+                pair[i] = -1
             h = before[i]
             if h >= 0:
                 r = get(piece[h:k])
-                if r is not None:
+                if r is None:
+                    pair[h] = -1
+                else:
+                    pair[h] = r
                     if r in bucket:
                         push(bucket[r], h)
                     else:
@@ -146,9 +161,10 @@ class ByteBPE:
                                 top |= 1 << m
         out, i = [], 0
         while i < n:
-            k = after[i]
-            out.append(ranks[piece[i:k]])
-            i = k
+            out.append(token[i])
+            i = after[i]
+        if None in out:
+            raise KeyError(piece)  # a byte that the ranks lack is left over
         return out
 
     def word_ids(self, word: str) -> str:
@@ -156,10 +172,8 @@ class ByteBPE:
 
     def ids_plain(self, text: str) -> list[str]:
         """Ids of any text by the split pattern, a string for each match."""
-        out, pieces = [], self.pieces
-        for m in self.find(text):
-            out.append(pieces[m[1:]] if m[0] == " " and m[1:].isalpha() else self.word_ids(m))
-        return out
+        pieces, starts = self.pieces, self.starts
+        return [pieces[m[1:]] if m[0] == " " and m[1:].isalpha() else starts[m] for m in self.find(text)]
 
     def ids(self, text: str) -> list[str]:
         """Ids of a text, as comma-joined strings for each of its pieces.
@@ -201,7 +215,7 @@ class _Pieces(dict):
         elif not piece or piece[0].isspace() or piece[-1].isspace():
             raise _Loose
         elif piece[-1] in ".,;:!?" and piece[:-1].isalpha():
-            have = self[piece[:-1]] + "," + self.bpe.word_ids(piece[-1])
+            have = self[piece[:-1]] + "," + self.bpe.starts[piece[-1]]
         else:
             have = ",".join(self.bpe.ids_plain(" " + piece))
         if len(piece) <= 64:
@@ -211,6 +225,22 @@ class _Pieces(dict):
         return have
 
 
+class _Starts(dict):
+    """Ids of a match by itself; bounded, cleared when full."""
+
+    def __init__(self, bpe: ByteBPE):
+        super().__init__()
+        self.bpe = bpe
+
+    def __missing__(self, word: str) -> str:
+        have = self.bpe.word_ids(word)
+        if len(word) <= 32:
+            if len(self) >= CACHE_STARTS:
+                self.clear()
+            self[word] = have
+        return have
+
+
 _CODERS: dict = {}
 
 
@@ -226,6 +256,7 @@ def forget() -> None:
     """Drop the tables and pieces of this worker."""
     for bpe in _CODERS.values():
         bpe.pieces.clear()
+        bpe.starts.clear()
     _CODERS.clear()
 
 

@@ -64,6 +64,15 @@ def test_queue_is_empty_afterwards(lib):
     assert not any(bpe.low) and not any(bpe.mid)
 
 
+def test_matches_without_a_space_are_encoded_once():
+    bpe, coded = byte_bpe.ByteBPE(open(RANKS, "rb").read(), P.PATTERN), []
+    plain = bpe.encode_word
+    bpe.encode_word = lambda piece: coded.append(piece) or plain(piece)
+    first, again = bpe.ids("Thander\n$$$ on.\nThander"), bpe.ids("Thander\n$$$ on.\nThander")
+    assert first == again and first[0] == first[-1]
+    assert sorted(coded) == sorted(set(coded))
+
+
 def test_rows_kept(spark):
     schema = T.StructType.fromDDL("doc_id long, text string, n_tokens string, id int")
     df = spark.createDataFrame([(1, None, "x", 1), (None, "a b", "y", 2), (2, "dup", None, 3), (2, "dup", None, 3)], schema)
