@@ -11,9 +11,10 @@
    verified exactly on their full shingle sets.
 4. Verified links make components.  Buckets whose nodes are in several
    components are tried again with other leaders.  At last nodes of different
-   components are tested and verified inside the tasks, tile by tile, and only
-   links are emitted: no link inside a bucket is left untested unless it would
-   join what is joined already.
+   components are tested inside the tasks, tile by tile, first on signatures;
+   full sets are sent and verified only for nodes of pairs that this leaves, and
+   only links are emitted: no link inside a bucket is left untested unless it
+   would join what is joined already.
 
 Two documents at the threshold 0.8 share no band with probability 3e-6.
 Nothing is capped; buckets, links and components stay distributed.
@@ -26,6 +27,8 @@ each; other columns are ignored; an empty table gives an empty result.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -171,79 +174,128 @@ def prune(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return map_batches(joined.select("a", "b", "sa", "sb"), "a long, b long", make)
 
 
-def across(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between nodes of different components that share a bucket: the
-    sequential test, then the full sets, each pair in the first bucket the two
-    have in common and only while the task has not joined the two otherwise.
+def tiled(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``members`` (key, node, label, size), dealt by bucket, with
+    what the test on signatures needs.
 
-    Nothing is emitted for other pairs.  A bucket of more than ``TILE``
-    nodes is cut into tiles; every pair of tiles is a group of its own, so no
-    task holds more than two tiles.
+    A bucket of more than ``TILE`` nodes is cut into tiles; every pair of tiles
+    (i, j) is a group of its own, so no task holds more than two tiles.
     """
     tiles = F.ceil(F.col("size") / TILE).cast("int")
     mine = F.pmod(F.xxhash64("node", "key"), F.col("tiles")).cast("int")
     rows = members.withColumn("tiles", tiles).withColumn("tile", mine)
     rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     rows = rows.select("key", F.least("tile", "o").alias("i"), F.greatest("tile", "o").alias("j"), "node", "label", "tile")
-    rows = (rows.join(nodes.select("node", "sig", "n"), "node").join(sets, "node")
-            .select("key", "i", "j", "node", "label", "tile", "n", "sig", "shingles")
-            .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
-    threshold = percent / 100
-    steps = least_agreements(threshold)
-    schema = arrow_schema("a long, b long")
+    return rows.join(nodes.select("node", "n", "sig"), "node").select("key", "i", "j", "node", "label", "tile", "n", "sig")
 
-    def links_of(key, i, j, node, label, tile, n, sig, full, up):
-        """Links of one group of rows; ``up`` is the task's own union of labels."""
-        if i == j:
-            x, y = np.triu_indices(len(node), 1)
-        else:
-            x, y = (v.ravel() for v in np.meshgrid(np.flatnonzero(tile == i), np.flatnonzero(tile == j), indexing="ij"))
-        ok = (label[x] != label[y]) & (np.minimum(n[x], n[y]) >= threshold * np.maximum(n[x], n[y]))
-        x, y = x[ok], y[ok]
-        agree, done = np.zeros(len(x), np.int64), 0
-        for upto, least in steps:
-            agree += (sig[x, done:upto] == sig[y, done:upto]).sum(1)
-            ok = agree >= least
-            x, y, agree, done = x[ok], y[ok], agree[ok], upto
-        if len(x):
-            keys = band_keys(sig)
-            first = (keys[x] == keys[y]).argmax(1)
-            ok = keys[x, first].view(np.int64) == key
-            x, y = x[ok], y[ok]
 
-        def root(v):
-            while up.get(v, v) != v:
-                v = up[v]
-            return v
+def by_group(rows: DataFrame, ddl: str, sets: bool, make: Callable[[], Callable]) -> DataFrame:
+    """Groups (key, i, j) of tiled rows, one after the other, through a function
+    that ``make`` builds once a task; it returns a dict of columns or ``None``."""
+    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    schema = arrow_schema(ddl)
 
-        for p, q in zip(x.tolist(), y.tolist(), strict=True):
-            u, v = root(int(label[p])), root(int(label[q]))
-            if u != v:
-                both = len(np.intersect1d(full[p], full[q], assume_unique=True))
-                if 100 * both >= percent * (len(full[p]) + len(full[q]) - both):
-                    up[u] = v
-                    yield int(node[p]), int(node[q])
+    def columns(batch):
+        out = [np.asarray(one(batch.column(k))) for k in range(7)] + [_matrix(batch.column(7), np.uint32)]
+        if sets:
+            full = np.empty(batch.num_rows, object)
+            full[:] = [v.values.to_numpy(zero_copy_only=False) for v in one(batch.column(8))]
+            out.append(full)
+        return out
 
     def run(batches):
-        rest, up = None, {}
+        rest, fn = None, make()
         for batch in _with_end(batches):
             if batch is not None:
-                full = np.empty(batch.num_rows, object)
-                full[:] = [v.values.to_numpy(zero_copy_only=False) for v in one(batch.column(8))]
-                cols = [np.asarray(one(batch.column(k))) for k in range(7)] + [_matrix(batch.column(7), np.uint32), full]
+                cols = columns(batch)
                 rest = cols if rest is None else [np.concatenate(c) for c in zip(rest, cols, strict=True)]
             if rest is None or not len(rest[0]):
                 continue
             key, i, j = rest[:3]
             new = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
             bounds = [0, *new.tolist()] + ([len(key)] if batch is None else [])
-            links = [p for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)
-                     for p in links_of(int(key[lo]), int(i[lo]), int(j[lo]), *[c[lo:hi] for c in rest[3:]], up)]
+            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+                out = fn([c[lo:hi] for c in rest])
+                if out is not None:
+                    yield as_batch(out, schema)
             rest = [c[bounds[-1]:].copy() for c in rest]
-            if links:
-                yield as_batch({"a": [p for p, _ in links], "b": [q for _, q in links]}, schema)
 
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, ddl)
+
+
+def hopeful_pairs(group: list[np.ndarray], threshold: float, steps: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a group that are of different components, pass the sequential
+    test and have no earlier bucket in common."""
+    key, i, j, _, label, tile, n, sig = group[:8]
+    if i[0] == j[0]:
+        x, y = np.triu_indices(len(n), 1)
+    else:
+        x, y = (v.ravel() for v in np.meshgrid(np.flatnonzero(tile == i[0]), np.flatnonzero(tile == j[0]), indexing="ij"))
+    ok = (label[x] != label[y]) & (np.minimum(n[x], n[y]) >= threshold * np.maximum(n[x], n[y]))
+    x, y = x[ok], y[ok]
+    agree, done = np.zeros(len(x), np.int64), 0
+    for upto, least in steps:
+        agree += (sig[x, done:upto] == sig[y, done:upto]).sum(1)
+        ok = agree >= least
+        x, y, agree, done = x[ok], y[ok], agree[ok], upto
+    if len(x):
+        keys = band_keys(sig)
+        first = (keys[x] == keys[y]).argmax(1)
+        ok = keys[x, first].view(np.int64) == key[0]
+        x, y = x[ok], y[ok]
+    return x, y
+
+
+def hopeful(rows: DataFrame, percent: int) -> DataFrame:
+    """The tiled rows of nodes that are in a pair the signatures leave: never
+    more than there are, and only their full sets are looked at."""
+    threshold = percent / 100
+    steps = least_agreements(threshold)
+
+    def make():
+        def fn(group):
+            take = np.unique(np.concatenate(hopeful_pairs(group, threshold, steps)))
+            if not len(take):
+                return None
+            names = ("key", "i", "j", "node", "label", "tile", "n")
+            return {k: c[take] for k, c in zip(names, group, strict=False)} | {"sig": _binary(group[7][take])}
+        return fn
+
+    return by_group(rows, "key long, i int, j int, node long, label long, tile int, n long, sig binary", False, make)
+
+
+def across(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between nodes of different components that share a bucket: the
+    pairs of ``hopeful`` rows whose full sets satisfy the condition, each in the
+    first bucket the two have in common and only while the task has not joined
+    the two otherwise.  Nothing is emitted for other pairs.
+    """
+    threshold = percent / 100
+    steps = least_agreements(threshold)
+
+    def make():
+        up: dict[int, int] = {}  # the task's own union of labels
+
+        def root(v):
+            while up.get(v, v) != v:
+                v = up[v]
+            return v
+
+        def fn(group):
+            node, label, full = group[3], group[4], group[8]
+            links = []
+            for p, q in zip(*(v.tolist() for v in hopeful_pairs(group, threshold, steps)), strict=True):
+                u, v = root(int(label[p])), root(int(label[q]))
+                if u != v:
+                    both = len(np.intersect1d(full[p], full[q], assume_unique=True))
+                    if 100 * both >= percent * (len(full[p]) + len(full[q]) - both):
+                        up[u] = v
+                        links.append((int(node[p]), int(node[q])))
+            return {"a": [p for p, _ in links], "b": [q for _, q in links]} if links else None
+        return fn
+
+    whole = rows.join(sets, "node").select("key", "i", "j", "node", "label", "tile", "n", "sig", "shingles")
+    return by_group(whole, "a long, b long", True, make).distinct()
 
 
 def _with_end(batches):
@@ -346,9 +398,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 pairs = (at.join(split, "key").where(F.col("label") != F.col("lead.label"))
                          .select(F.greatest("node", "lead.node").alias("a"), F.least("node", "lead.node").alias("b")))
             else:
-                open_ = cut(at.join(split.select("key", "size"), "key"), "minhash-open")
+                open_ = cut(hopeful(tiled(at.join(split.select("key", "size"), "key"), nodes), percent), "minhash-open")
                 sets = sets_of(open_.select("node").distinct(), nodes, docs, id_col, text_col, shingle)
-                found = across(open_, nodes, sets, percent)
+                found = across(open_, sets, percent)
         if step != "across":
             left = cut(prune(pairs.distinct(), nodes, percent / 100), "minhash-left")
             wanted = left.select(F.col("a").alias("node")).union(left.select(F.col("b").alias("node"))).distinct()
@@ -364,6 +416,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                       F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def parted(docs: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` whose id is surely none of ``ids`` (one column,
+    ``of``), and the others: all that have one of them and a few more.
+
+    A bitmap of fixed size decides, as a table of at most 2^17 words that every
+    task gets, so the sure rows are never shuffled.
+    """
+    def spot(name):
+        return F.xxhash64(F.col(name)).bitwiseAND((1 << BITMAP_BITS) - 1)
+
+    words = (ids.select(F.shiftright(spot("of"), 5).alias("w"), F.expr("shiftleft(1L, cast(xxhash64(of) & 31 as int))").alias("b"))
+             .groupBy("w").agg(F.bit_or("b").alias("b")))
+    at = docs.alias("d").join(F.broadcast(words.alias("m")), F.shiftright(spot(f"d.{id_col}"), 5) == F.col("m.w"), "left")
+    bit = F.coalesce(F.expr(f"shiftright(m.b, cast(xxhash64(d.{id_col}) & 31 as int)) & 1L"), F.lit(0))
+    return at.where(bit == 0).select("d.*"), at.where(bit == 1).select("d.*")
+
+
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                  percent: int = 80) -> DataFrame:
     """The rows of ``docs``, all columns, of the documents that are kept.
@@ -373,7 +442,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     found = near_duplicates(docs, id_col, text_col, shingle, percent).where(F.col(id_col).isNotNull())
     by_id = cut(found.groupBy(F.col(id_col).alias("of")).agg(F.max("kept").alias("kept"), F.count("*").alias("times")), "minhash-ids")
-    kept = docs.join(by_id.where("not kept").select("of"), F.col(id_col) == F.col("of"), "left_anti")
+    dropped = by_id.where("not kept").select("of")
+    kept, rest = parted(docs, dropped, id_col)
+    kept = kept.union(rest.join(dropped, F.col(id_col) == F.col("of"), "left_anti"))
     again = by_id.where("kept and times > 1").select("of")
     if again.limit(1).count():
         several = kept.join(again, F.col(id_col) == F.col("of"), "left_semi").dropDuplicates([id_col, text_col])

@@ -117,3 +117,32 @@ def test_query_by_brute_force(spark, sf):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     rows = QUERIES["op10_near_duplicates"](spark, sf_dir).collect()
     check(rows, docs)
+
+
+def test_only_rows_that_may_be_dropped_are_joined(spark):
+    docs = spark.createDataFrame([(i, f"t{i}", i, i) for i in range(3000)] + [(None, "x", 1, 1), (7, "again", 1, 1)],
+                                 "doc_id long, text string, w int, b long")
+    ids = spark.createDataFrame([(i,) for i in range(0, 3000, 100)] + [(7,), (9999,)], "of long")
+    sure, rest = M.parted(docs, ids, "doc_id")
+    assert sure.columns == rest.columns == docs.columns
+    wanted = {r.of for r in ids.collect()}
+    assert not wanted & {r.doc_id for r in sure.collect()}
+    assert sorted(map(tuple, sure.union(rest).collect()), key=str) == sorted(map(tuple, docs.collect()), key=str)
+    assert 32 <= rest.count() < 40
+    sure, rest = M.parted(docs, ids.limit(0), "doc_id")
+    assert (sure.count(), rest.count()) == (3002, 0)
+
+
+def test_full_sets_are_sent_only_for_pairs_the_signatures_leave(spark):
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 2**63, 400).astype(np.uint64))
+    sets = [base, base[:-10], *(np.unique(rng.integers(0, 2**63, 400).astype(np.uint64)) for _ in range(5))]
+    at = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+    sig = M.signatures(np.concatenate(sets), at)
+    key = next(int(k) for k, other in zip(M.band_keys(sig)[0].view(np.int64), M.band_keys(sig)[1].view(np.int64)) if k == other)
+    nodes = spark.createDataFrame([(i, len(s), bytearray(sig[i].tobytes())) for i, s in enumerate(sets)], "node long, n long, sig binary")
+    members = spark.createDataFrame([(key, i, i, len(sets)) for i in range(len(sets))], "key long, node long, label long, size long")
+    left = M.hopeful(M.tiled(members, nodes), 80)
+    assert sorted(r.node for r in left.collect()) == [0, 1]
+    full = spark.createDataFrame([(i, [int(x) for x in s.view(np.int64)]) for i, s in enumerate(sets)], "node long, shingles array<long>")
+    assert [tuple(r) for r in M.across(left, full, 80).collect()] == [(0, 1)]
