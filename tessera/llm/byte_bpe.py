@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, one, text_of
 
-#: pieces kept per Python worker; then the memory is cleared
-CACHE_PIECES = 700_000
+#: pieces kept per Python worker; then they become the old ones, and the old ones go
+CACHE_PIECES = 600_000
 #: matches without a space before them, likewise
 CACHE_STARTS = 50_000
 
@@ -203,27 +203,45 @@ class _Loose(Exception):
 
 
 class _Pieces(dict):
-    """Ids of a space and a piece that follows it; bounded, cleared when full."""
+    """Ids of a space and a piece that follows it; bounded.
+
+    When full, the pieces become the old ones; those met again come back, so
+    words in use are not encoded anew.  A word with a mark behind it is put
+    together from the two each time: it would take the place of another word.
+    """
 
     def __init__(self, bpe: ByteBPE):
         super().__init__()
         self.bpe = bpe
+        self.old: dict[str, str] = {}
 
     def __missing__(self, piece: str) -> str:
-        if piece.isalpha():
-            have = self.bpe.word_ids(" " + piece)
-        elif not piece or piece[0].isspace() or piece[-1].isspace():
-            raise _Loose
-        elif piece[-1] in ".,;:!?" and piece[:-1].isalpha():
-            have = self[piece[:-1]] + "," + self.bpe.starts[piece[-1]]
-        else:
-            have = ",".join(self.bpe.ids_plain(" " + piece))
+        if piece[-1:] in _MARKS and piece[:-1].isalpha():
+            return self[piece[:-1]] + "," + self.bpe.starts[piece[-1]]
+        have = self.old.get(piece)
+        if have is None:
+            if piece.isalpha():
+                have = self.bpe.word_ids(" " + piece)
+            elif not piece or piece[0].isspace() or piece[-1].isspace():
+                raise _Loose
+            else:
+                have = ",".join(self.bpe.ids_plain(" " + piece))
         if len(piece) <= 64:
             if len(self) >= CACHE_PIECES:
+                self.old = {}
+                kept = dict(self)
                 self.clear()
+                self.old = kept
             self[piece] = have
         return have
 
+    def clear(self) -> None:
+        super().clear()
+        self.old = {}
+
+
+_MARKS = frozenset(".,;:!?")
+
 
 class _Starts(dict):
     """Ids of a match by itself; bounded, cleared when full."""

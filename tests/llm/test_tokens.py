@@ -73,6 +73,20 @@ def test_matches_without_a_space_are_encoded_once():
     assert sorted(coded) == sorted(set(coded))
 
 
+def test_words_in_use_outlive_a_full_store(lib, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CACHE_PIECES", 4)
+    bpe, coded = byte_bpe.ByteBPE(open(RANKS, "rb").read(), P.PATTERN), []
+    plain = bpe.encode_word
+    bpe.encode_word = lambda piece: coded.append(piece) or plain(piece)
+    for c in "abcdefghijklmnopqrstuvw":
+        text = f"x thander q{c}zq{c}z thander. thanderx, {c}9{c}"
+        assert flat(bpe.ids(text)) == lib[0].encode_ordinary(text)
+        assert len(bpe.pieces) <= 4 and len(bpe.pieces.old) <= 4
+    assert coded.count(b" thander") == coded.count(b" thanderx") == 1
+    bpe.pieces.clear()
+    assert not bpe.pieces and not bpe.pieces.old
+
+
 def test_rows_kept(spark):
     schema = T.StructType.fromDDL("doc_id long, text string, n_tokens string, id int")
     df = spark.createDataFrame([(1, None, "x", 1), (None, "a b", "y", 2), (2, "dup", None, 3), (2, "dup", None, 3)], schema)
