@@ -145,7 +145,7 @@ def q_normality_by_transform(spark, sf_dir):
 def q_normality_tests(spark, sf_dir):
     """One-sample KS (Spark ML) and Anderson-Darling against a fitted
     normal, for the raw and log1p price."""
-    s = sales(spark, sf_dir).select("l_extendedprice", F.log1p("l_extendedprice").alias("log_price"))
+    s = cut(sales(spark, sf_dir), "l_extendedprice").withColumn("log_price", F.log1p("l_extendedprice"))
     rows = []
     for c in ("l_extendedprice", "log_price"):
         ad = eda.anderson_darling_normal(s, c).first()
