@@ -345,7 +345,7 @@ s2 AS (SELECT feature, CASE WHEN es = 0 THEN 1e-4 ELSE es END AS es, CASE WHEN a
 SELECT feature, round(abs(sum((as_ - es) * ln(as_ / es))), 8) AS psi FROM s2 GROUP BY feature"""))
 def q_psi_drift(spark, sf_dir):
     """Population stability index train -> test for five features."""
-    long = dg.to_long(_drift_frame(spark, sf_dir), _DRIFT_FEATURES)
+    long = dg.to_long(cut(_drift_frame(spark, sf_dir), "split", *_DRIFT_FEATURES), _DRIFT_FEATURES)
     return dg.psi(long).select("feature", F.round("psi", 8).alias("psi"))
 
 
