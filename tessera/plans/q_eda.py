@@ -300,7 +300,7 @@ def q_quantile_uniform(spark, sf_dir):
 @register("quantile_normal")
 def q_quantile_normal(spark, sf_dir):
     """W10 + A36: the target made normal by its quantiles; moments by split."""
-    s = sales(spark, sf_dir)
+    s = cut(sales(spark, sf_dir), "l_extendedprice", "year")
     fit = scale.fit_quantile_map(s.where(F.col("year") < 2000), "l_extendedprice")
     z = scale.apply_quantile_map(s, fit, "z", "normal").withColumn("split", F.when(F.col("year") < 2000, "train").otherwise("test"))
     return z.groupBy("split").agg(F.count("z").alias("n"), *[F.round(f("z"), 6).alias(c) for c, f in (

@@ -24,7 +24,7 @@ def counted(spark):
     return df.withColumn("l_extendedprice", F.udf(price, "double").asNondeterministic()("l_extendedprice")), seen
 
 
-@pytest.mark.parametrize("module, query", [(q_eda, "q_normality_tests"), (q_metrics, "q_psi_drift")])
+@pytest.mark.parametrize("module, query", [(q_eda, "q_normality_tests"), (q_eda, "q_quantile_normal"), (q_metrics, "q_psi_drift")])
 def test_each_row_is_computed_once(monkeypatch, spark, counted, module, query):
     df, seen = counted
     monkeypatch.setattr(module, "sales", lambda *_: df)
