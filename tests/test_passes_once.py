@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.plans import q_eda, q_metrics
+from tessera.plans import q_eda, q_features, q_metrics
 
 N = 40
 
@@ -24,7 +24,8 @@ def counted(spark):
     return df.withColumn("l_extendedprice", F.udf(price, "double").asNondeterministic()("l_extendedprice")), seen
 
 
-@pytest.mark.parametrize("module, query", [(q_eda, "q_normality_tests"), (q_eda, "q_quantile_normal"), (q_metrics, "q_psi_drift")])
+@pytest.mark.parametrize("module, query", [(q_eda, "q_normality_tests"), (q_eda, "q_quantile_normal"), (q_metrics, "q_psi_drift"),
+                                           (q_features, "q_data_filters")])
 def test_each_row_is_computed_once(monkeypatch, spark, counted, module, query):
     df, seen = counted
     monkeypatch.setattr(module, "sales", lambda *_: df)
