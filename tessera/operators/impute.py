@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import numeric_columns, string_columns
 from .columns import MISSING, q, wide_agg
-from .lookup import StatsTable, attach, fit_table
-from .quantiles import column_quantiles, grouped_quantiles
+from .lookup import StatsTable, attach, fit_table, keep_cached
+from .quantiles import group_key, long_quantiles
 
 
 @dataclass
@@ -51,8 +51,12 @@ def fit_imputer(train: DataFrame, numeric_strategy: str = "median", group_col: s
     found = {r["_c"]: r["_m"] for r in modes(train, [], cats).collect()} if cats else {}  # a row a column
     row.update({f"c{i}": found.get(i) for i in range(len(cats))})
     if numeric_strategy != "mean" and nums:
-        med = column_quantiles(train, nums, [0.5])
-        row.update({f"n{i}": med[c][0] for i, c in enumerate(nums)})
+        # exact medians of all numeric columns, of all rows and of every group, in the same passes
+        quoted = [f"`{c}`" for c in nums]
+        specs = [([], c) for c in quoted] + [([group_col], c) for c in quoted if group_col]
+        med = keep_cached(long_quantiles(train, specs, [0.5], ["_med"]))
+        whole = {r["_spec"]: r["_med"] for r in med.where(F.col("_spec") < len(nums)).collect()}  # a row a column
+        row.update({f"n{i}": whole.get(i) for i in range(len(nums))})
     fit = FittedImputer({c: row[f"n{i}"] for i, c in enumerate(nums)},
                         {c: (row[f"c{i}"] if row[f"c{i}"] is not None else MISSING)
                          for i, c in enumerate(cats)}, group_col)
@@ -66,16 +70,9 @@ def fit_imputer(train: DataFrame, numeric_strategy: str = "median", group_col: s
                     *[F.max(F.when(F.col("_c") == i, F.col("_m"))).alias(f"_gc{i}") for i in range(len(cats))])
                 g = g.join(by, group_col, "left")
             if numeric_strategy != "mean" and nums:
-                # exact group medians for all numeric columns in one ranking pass:
-                # stack (group, column, value) and rank by (group, column, value)
-                long = train.where(F.col(group_col).isNotNull()).select(
-                    group_col, F.explode(F.array(*[F.struct(F.lit(i).alias("_c"), q(c).cast("double").alias("_x"))
-                                                   for i, c in enumerate(nums)])).alias("_s")) \
-                    .select(group_col, "_s._c", "_s._x")
-                med = grouped_quantiles(long, [group_col, "_c"], "_x", [0.5], ["_med"]) \
-                    .groupBy(group_col).pivot("_c", list(range(len(nums)))).agg(F.first("_med"))
-                med = med.select(group_col, *[F.col(f"`{i}`").alias(f"_gmed{i}") for i in range(len(nums))])
-                g = g.join(med, group_col, "left")
+                by_key = med.where(F.col("_spec") >= len(nums)).groupBy("_key").agg(
+                    *[F.max(F.when(F.col("_spec") == len(nums) + i, F.col("_med"))).alias(f"_gmed{i}") for i in range(len(nums))])
+                g = g.withColumn("_key", group_key([group_col])).join(by_key, "_key", "left").drop("_key")
                 g = g.select(group_col, *[F.coalesce(f"_gmed{i}", f"_gm{i}").alias(f"_gn{i}") for i in range(len(nums))],
                              *[f"_gc{i}" for i in range(len(cats))])
             else:
