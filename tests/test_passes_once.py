@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.plans import q_eda, q_features, q_metrics
+from tessera.plans import q_assembly, q_eda, q_features, q_metrics
 
 N = 40
 
@@ -31,3 +31,23 @@ def test_each_row_is_computed_once(monkeypatch, spark, counted, module, query):
     monkeypatch.setattr(module, "sales", lambda *_: df)
     assert getattr(module, query)(spark, "unused").collect()
     assert seen.value == N
+
+
+def test_the_wide_table_is_joined_once(monkeypatch, spark):
+    rows = [(k // 2, 2, 100.0 + k // 2, 1.0 + k % 5, 3.0 + k % 7, None if k % 11 == 0 else 2.0) for k in range(N)] + [(N, 3, 1.0, 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "A_o_orderkey long, A_declared_rows long, A_o_totalprice double, OV_vmin_normal double, OV_vmax_normal double, "
+                                     "AI_surface double")
+    seen = spark.sparkContext.accumulator(0)
+
+    def least(v):
+        seen.add(1)
+        return v
+
+    monkeypatch.setattr(q_assembly, "wide_table", lambda *_: df.withColumn("OV_vmin_normal", F.udf(least, "double").asNondeterministic()("OV_vmin_normal")))
+    out = q_assembly.q_redistribution_stats(spark, "unused").collect()
+    total = {}
+    for key, _, price, low, high, surface in rows[:-1]:
+        total[key] = total.get(key, 0.0) + ((low + high) / 2 * surface if surface else 0.0)
+    coef = sorted((100.0 + k) / v if v > 0 else 1.0 for k, v in total.items())
+    assert out[0]["n_groups"] == N // 2 and out[0]["coef_median"] == pytest.approx((coef[N // 4 - 1] + coef[N // 4]) / 2, abs=1e-6)
+    assert seen.value == N + 1
