@@ -105,3 +105,24 @@ def test_json_keys_and_geojson(spark):
     f = tx.geojson_features("g")
     r = g.select(*[e.alias(k) for k, e in f.items()]).first().asDict()
     assert r["g__areaMq"] == "120.5" and (r["g__minx"], r["g__maxx"], r["g__miny"], r["g__maxy"]) == (1, 3, 2, 5)
+
+
+@pytest.mark.parametrize("few", [0, 200_000])
+def test_polygons_of_one_file_are_dealt_and_read_once(spark, monkeypatch, tmp_path, few):
+    from tessera.operators import spatial as sp
+    monkeypatch.setattr(sp, "FEW", few)
+    polys = spark.range(0, 60, 1, 1).select("id", wkt.rectangle_wkt(F.col("id") * 0.1, F.lit(0.0), F.col("id") * 0.1 + 1 + F.pmod("id", F.lit(3)), F.lit(1.0)).alias("w"))
+    polys.write.parquet(f"{tmp_path}/polys")
+    pts = spark.createDataFrame([(i / 7, 0.5, "ab"[i % 2]) for i in range(40)] + [(None, 0.5, "a"), (0.0, 0.5, "a"), (1.0, 0.5, "b")], "x double, y double, k string")
+    seen = spark.sparkContext.accumulator(0)
+
+    def text(v):
+        seen.add(1)
+        return v
+
+    read = spark.read.parquet(f"{tmp_path}/polys").withColumn("w", F.udf(text, "string").asNondeterministic()("w"))
+    pairs = sp.points_in_polygons(pts, "x", "y", read, "w")
+    got = {(r.id, r.x, r.k) for r in pairs.collect()}
+    assert seen.value == 2 * 60  # the boxes, the pairs
+    assert sp._with_bbox(read, "w").rdd.getNumPartitions() > 1
+    assert got == {(i, r.x, r.k) for i in range(60) for r in pts.collect() if r.x is not None and i * 0.1 < r.x < i * 0.1 + 1 + i % 3}
